@@ -9,6 +9,7 @@ from citewise.operators.counts import (
     years_from_months,
 )
 from citewise.operators.ownership import owner_totals, ticket_vehicle_owner
+from citewise.operators.skew import hot_keys, join_spread, join_with_unique
 from citewise.operators.topk import top_k, top_k_with_ties
 from citewise.operators.trends import (
     change_since_previous,
@@ -19,6 +20,9 @@ from citewise.operators.trends import (
 
 __all__ = [
     "change_since_previous",
+    "hot_keys",
+    "join_spread",
+    "join_with_unique",
     "max_count",
     "month_counts",
     "month_grid",

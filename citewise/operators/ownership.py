@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citewise.operators.skew import join_spread, join_with_unique
 
-def _owned(automobiles: DataFrame, people: DataFrame, plate: str, owner: str, person: str):
+
+def _owned(automobiles, people, plate, owner, person, *more: Column) -> DataFrame:
     """(plate, person_id): the owner key in the type of the people key.
 
     Owner ids arrive as text. One that is no valid key becomes NULL and matches
@@ -14,7 +16,7 @@ def _owned(automobiles: DataFrame, people: DataFrame, plate: str, owner: str, pe
     """
     key_type = people.schema[person].dataType
     return automobiles.select(
-        F.col(plate).alias("_plate"), F.col(owner).try_cast(key_type).alias("person_id")
+        F.col(plate).alias("_plate"), F.col(owner).try_cast(key_type).alias("person_id"), *more
     )
 
 
@@ -27,21 +29,27 @@ def ticket_vehicle_owner(
     plate: str = "license_plate",
     owner: str = "person_id",
     person: str = "id",
+    ticket: str = "id",
+    vehicle: str = "vin",
 ) -> DataFrame:
     """One row (person_id, ticket_cost) per ticket, vehicle row and people row.
 
-    Plain inner joins: a plate on several vehicle rows, or a person id on several
-    people rows, repeats the ticket. No hints on sides that grow with the data:
-    Spark broadcasts by size, and adaptive execution splits a hot plate or owner.
+    Inner joins: a plate on several vehicle rows, or a person id on several people
+    rows, repeats the ticket. Vehicles meet their owners first, the smaller join, and
+    then the tickets. A hot plate or owner is spread over many tasks; ``ticket`` and
+    ``vehicle`` tell the rows of one plate apart for that.
     """
-    owned = _owned(automobiles, people, plate, owner, person)
-    charged = tickets.select(F.col(ticket_plate).alias("_ticket_plate"), fee.alias("ticket_cost"))
-    persons = people.select(F.col(person).alias("_person"))
-    return (
-        owned.join(charged, F.col("_plate") == F.col("_ticket_plate"))
-        .join(persons, F.col("person_id") == F.col("_person"))
-        .select("person_id", "ticket_cost")
+    owned = _owned(automobiles, people, plate, owner, person, F.col(vehicle).alias("_vehicle"))
+    charged = tickets.select(
+        F.col(ticket_plate).alias("_ticket_plate"),
+        F.col(ticket).alias("_ticket"),
+        fee.alias("ticket_cost"),
     )
+    persons = people.select(F.col(person).alias("_person"))
+    vehicles = join_spread(owned, "person_id", persons, "_person")
+    return join_spread(
+        vehicles, "_plate", charged, "_ticket_plate", left_source=owned
+    ).select("person_id", "ticket_cost")
 
 
 def owner_totals(
@@ -57,19 +65,20 @@ def owner_totals(
     """(person_id, total_ticketed_amount): the sum of ``ticket_vehicle_owner`` by person.
 
     The same numbers with the sums pushed below the joins. Fees are summed per plate
-    first, so a plate with a third of all tickets meets the join as one row; the
-    sums per person follow; a person id that occurs n times in ``people`` then
-    counts n times, as the row-level join would have it.
+    first, so a plate with a third of all tickets meets the join as one row, and a
+    plate with a third of all vehicle rows is joined without moving them; the sums
+    per person follow; a person id that occurs n times in ``people`` then counts n
+    times, as the row-level join would have it.
     """
     per_plate = (
         tickets.where(F.col(ticket_plate).isNotNull())
         .groupBy(F.col(ticket_plate).alias("_ticket_plate"))
         .agg(F.sum(fee).alias("_plate_total"))
     )
+    owned = _owned(automobiles, people, plate, owner, person)
+    owned = owned.where(F.col("person_id").isNotNull() & F.col("_plate").isNotNull())
     per_person = (
-        _owned(automobiles, people, plate, owner, person)
-        .where(F.col("person_id").isNotNull())
-        .join(per_plate, F.col("_plate") == F.col("_ticket_plate"))
+        join_with_unique(owned, "_plate", per_plate, "_ticket_plate")
         .groupBy("person_id")
         .agg(F.sum("_plate_total").alias("_person_total"))
     )

@@ -66,13 +66,23 @@ def top_officers_strict(
     person: str = "id",
 ) -> DataFrame:
     """The same with the maximum taken over officers only."""
-    counts = tickets_per_officer(tickets, officer, ticket)
-    return with_max(_named_officers(counts, people, is_officer, names, officer, person))
+    ids = officers_of(people, is_officer).select(F.col(person).alias("_officer")).distinct()
+    counts = tickets_per_officer(tickets, officer, ticket).join(
+        ids, F.col(officer) == F.col("_officer"), "left_semi"
+    )
+    return _named_officers(with_max(counts), people, is_officer, names, officer, person)
+
 
+def _named_officers(top, people, is_officer, names, officer, person) -> DataFrame:
+    """Looks up the names of the few officers at the top.
 
-def _named_officers(counts, people, is_officer, names, officer, person) -> DataFrame:
-    officers = officers_of(people, is_officer).select(F.col(person).alias("_person"), *names)
-    return counts.join(officers, F.col(officer) == F.col("_person")).select(
+    The match is null-safe, with NULL person ids left out first. A plain match would
+    let Spark push "officer is not NULL" into the counts but not into their maximum,
+    and the tickets would be scanned and shuffled once for each.
+    """
+    named = officers_of(people, is_officer).select(F.col(person).alias("_person"), *names)
+    named = named.where(F.col("_person").isNotNull())
+    return top.join(named, F.col(officer).eqNullSafe(F.col("_person"))).select(
         F.col(officer).alias("officer_id"), *names, "ticket_count"
     )
 

@@ -35,6 +35,9 @@ _CUTTERS = {
 }
 _RESOURCE_FORKS = "__MACOSX/"
 
+# More tasks than cores, so that a long member holds up only itself.
+_TASKS_PER_CORE = 4
+
 # The columns of Spark's binaryFile source, which a stream must be told.
 _BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
@@ -99,12 +102,12 @@ def bundle_records(
     ``open_file`` opens a path as a seekable stream; pass your own for a file
     system that Arrow does not know.
     """
-    tasks = tasks or archives.sparkSession.sparkContext.defaultParallelism
+    cores = archives.sparkSession.sparkContext.defaultParallelism
     members = (
         bundle_members(archives, open_file)
         .where(F.col("feed") == feed)
         .select("archive", "member")
-        .repartition(tasks, "archive", "member")
+        .repartition(tasks or cores * _TASKS_PER_CORE, "archive", "member")
     )
     return members.mapInArrow(
         record_cutter(open_file, _CUTTERS[feed], with_header=feed == "people"),

@@ -166,11 +166,7 @@ def month_rank_in_year(spark, folder):
 
 @query
 def month_grid(spark, folder):
-    """Months in which the officer with the lowest id wrote tickets leave gaps to fill."""
-    tickets = _lineitem(spark, folder)
-    first = tickets.agg(F.min(TICKET_OFFICER)).scalar()
-    one_officer = tickets.where(F.col(TICKET_OFFICER) == first)
-    return op.month_grid(op.month_counts(one_officer, TICKET_TIME, TICKET_ID))
+    return op.month_grid(_months(spark, folder))
 
 
 # ---- fees and payers
@@ -230,6 +226,8 @@ def ticket_vehicle_owner(spark, folder):
         table(spark, folder, "customer"),
         fn.ticket_cost(school(), work(), fn.AS_CODED),
         **OWNERSHIP,
+        ticket=TICKET_ID,
+        vehicle="o_orderdate",
     )
 
 
@@ -529,10 +527,8 @@ SQL = {
     "month_rank_in_year": f"""SELECT year(month) AS year, month, ticket_count,
         rank() OVER (PARTITION BY year(month) ORDER BY ticket_count DESC) AS month_rank
         FROM ({_MONTHS})""",
-    "month_grid": """WITH m AS (SELECT date_trunc('month', l_shipdate) AS month,
-            count(l_linenumber) AS n FROM lineitem
-            WHERE l_suppkey = (SELECT min(l_suppkey) FROM lineitem) GROUP BY 1)
-        SELECT g.month, coalesce(n, 0) AS ticket_count
+    "month_grid": f"""WITH m AS ({_MONTHS})
+        SELECT g.month, coalesce(ticket_count, 0) AS ticket_count
         FROM (SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month
             FROM m) g LEFT JOIN m ON m.month = g.month""",
     "ticket_cost_published": _priced_sql(_PUBLISHED),
