@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citewise.operators.skew import join_spread, join_with_unique
+from citewise.operators.skew import hot_keys, join_spread, join_with_unique
 
 
 def _owned(automobiles, people, plate, owner, person, *more: Column) -> DataFrame:
@@ -46,9 +46,12 @@ def ticket_vehicle_owner(
         fee.alias("ticket_cost"),
     )
     persons = people.select(F.col(person).alias("_person"))
-    vehicles = join_spread(owned, "person_id", persons, "_person")
+    hot_owners, hot_persons, hot_plates, hot_ticketed = hot_keys(
+        (owned, "person_id"), (persons, "_person"), (owned, "_plate"), (charged, "_ticket_plate")
+    )
+    vehicles = join_spread(owned, "person_id", persons, "_person", hot_owners, hot_persons)
     return join_spread(
-        vehicles, "_plate", charged, "_ticket_plate", left_source=owned
+        vehicles, "_plate", charged, "_ticket_plate", hot_plates, hot_ticketed
     ).select("person_id", "ticket_cost")
 
 
@@ -77,8 +80,9 @@ def owner_totals(
     )
     owned = _owned(automobiles, people, plate, owner, person)
     owned = owned.where(F.col("person_id").isNotNull() & F.col("_plate").isNotNull())
+    (hot,) = hot_keys((owned, "_plate"))
     per_person = (
-        join_with_unique(owned, "_plate", per_plate, "_ticket_plate")
+        join_with_unique(owned, "_plate", per_plate, "_ticket_plate", hot)
         .groupBy("person_id")
         .agg(F.sum("_plate_total").alias("_person_total"))
     )

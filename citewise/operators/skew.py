@@ -2,15 +2,16 @@
 
 Adaptive execution splits some skewed joins, but not one whose side is an aggregate,
 and it measures compressed bytes, in which many rows with one key weigh little. The
-joins here look for hot keys first. That is one narrow pass over the key column when
-the join is built, with a frequent-items sketch per task; what reaches the driver is
-at most 1,000 keys. Hot keys only choose the way a row takes, and every row takes one
+joins here are told the hot keys. Finding them is one narrow pass over the key columns
+when the query is built, with a frequent-items sketch per task; what reaches the driver
+is at most 1,000 keys per column. Hot keys only choose the way a row takes, and every row takes one
 of the ways, so a key that is missed or has cooled down changes nothing in the result.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,21 @@ SKETCHED = 0.01
 _TRACKED = 50_000
 
 
-def hot_keys(rows: DataFrame, key: str) -> list:
-    """The keys that hold more than ``HOT_SHARE`` of the rows and ``HOT_ROWS`` rows.
+def hot_keys(*sides: tuple[DataFrame, str]) -> list[list]:
+    """For each (rows, key): the keys with over ``HOT_SHARE`` of the rows and ``HOT_ROWS`` rows.
 
     The numbers of rows are estimates from a sample; all rows are joined all the same.
+    One Spark job does all sides.
     """
+    found = [
+        _frequent(rows, key).select(F.col("item").alias(f"side_{n}"))
+        for n, (rows, key) in enumerate(sides)
+    ]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found).collect()
+    return [[row[n] for row in together if row[n] is not None] for n in range(len(sides))]
+
+
+def _frequent(rows: DataFrame, key: str) -> DataFrame:
     keyed = rows.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), (F.rand(7) < SKETCHED).alias("_sketched")
     )
@@ -42,22 +53,20 @@ def hot_keys(rows: DataFrame, key: str) -> list:
         F.count("*").alias("_rows"),
     )
     least = F.greatest(F.col("_rows") * HOT_SHARE, F.lit(float(HOT_ROWS)))
-    hot = (
-        counted.select(least.alias("_least"), F.inline("_frequent"))
-        .where(F.col("count") / SKETCHED > F.col("_least"))
-        .select("item")
+    return counted.select(least.alias("_least"), F.inline("_frequent")).where(
+        F.col("count") / SKETCHED > F.col("_least")
     )
-    return [row["item"] for row in hot.collect()]
 
 
-def join_with_unique(rows: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
+def join_with_unique(
+    rows: DataFrame, key: str, table: DataFrame, table_key: str, hot: list
+) -> DataFrame:
     """Inner join of ``rows``, with any skew, to a table that has one row per key.
 
     Rows with a hot key stay where they are and meet their table row, one of at most
     1,000, by broadcast. The others are shuffled.
     """
     match = F.col(key) == F.col(table_key)
-    hot = hot_keys(rows, key)
     if not hot:
         return rows.join(table, match)
     few = F.broadcast(table.where(F.col(table_key).isin(hot)))
@@ -70,8 +79,9 @@ def join_spread(
     left_key: str,
     right: DataFrame,
     right_key: str,
+    left_hot: list,
+    right_hot: list,
     parts: int | None = None,
-    left_source: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join in which neither side need be unique and both may be skewed.
 
@@ -81,13 +91,9 @@ def join_spread(
     both sides are hot the tasks form a square grid, and each side is dealt out along
     one edge and repeated along the other. The hash makes a repeated task deal as
     before; rows that differ in nothing stay together, so give it columns that differ.
-
-    Where ``left`` is a join itself, pass the table its keys come from as
-    ``left_source``: hot keys are then looked for there, and the join runs once less.
     """
     match = F.col(left_key) == F.col(right_key)
-    in_left = set(hot_keys(left if left_source is None else left_source, left_key))
-    in_right = set(hot_keys(right, right_key))
+    in_left, in_right = set(left_hot), set(right_hot)
     hot = sorted(in_left | in_right)
     if not hot:
         return left.join(right, match)

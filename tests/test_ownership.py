@@ -116,20 +116,20 @@ def test_hot_keys_are_found_and_joined_by_broadcast(spark, small_is_hot):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
     )
     table = spark.range(9000).select(F.col("id").alias("t"), (F.col("id") * 2).alias("w"))
-    assert hot_keys(vehicles, "k") == [0]
-    joined = join_with_unique(vehicles, "k", table, "t")
+    assert hot_keys((vehicles, "k")) == [[0]]
+    joined = join_with_unique(vehicles, "k", table, "t", hot_keys((vehicles, "k"))[0])
     assert joined.count() == 9000
     assert joined.where("w != k * 2").isEmpty()
     assert "Union" in planned(joined)
 
 
 def test_evenly_spread_keys_are_not_hot(spark, small_is_hot):
-    assert hot_keys(spark.range(50_000).withColumnRenamed("id", "k"), "k") == []
+    assert hot_keys((spark.range(50_000).withColumnRenamed("id", "k"), "k")) == [[]]
 
 
 def test_every_hot_key_is_found_and_they_are_bounded(spark, small_is_hot):
     frame = spark.range(0, 90_000, 1, 8).select((F.col("id") % 900).alias("k"))
-    assert sorted(hot_keys(frame, "k")) == list(range(900))
+    assert sorted(hot_keys((frame, "k"))[0]) == list(range(900))
 
 
 def test_a_sample_is_enough_to_find_a_third(spark, monkeypatch):
@@ -137,14 +137,14 @@ def test_a_sample_is_enough_to_find_a_third(spark, monkeypatch):
     frame = spark.range(0, 300_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")
     )
-    assert hot_keys(frame, "k") == ["hot"]
+    assert hot_keys((frame, "k")) == [["hot"]]
 
 
 def test_few_rows_are_never_hot_and_the_plan_stays_plain(spark):
     vehicles = spark.range(9000).select(F.lit(0).alias("k"), "id")
-    assert hot_keys(vehicles, "k") == []
+    assert hot_keys((vehicles, "k")) == [[]]
     table = spark.range(5).withColumnRenamed("id", "t")
-    plan = planned(join_with_unique(vehicles, "k", table, "t"))
+    plan = planned(join_with_unique(vehicles, "k", table, "t", hot_keys((vehicles, "k"))[0]))
     assert "Union" not in plan and plan.count("Join") == 1
 
 
@@ -161,7 +161,9 @@ def test_join_spread_deals_a_hot_key_out(spark, set_conf, small_is_hot, left_hot
         return spark.range(n).select(key.alias(names[0]), F.col("id").alias(names[1]))
 
     left, right = side(3000, left_hot, ("k", "v")), side(1500, right_hot, ("t", "w"))
-    joined = join_spread(left, "k", right, "t")
+    hot = hot_keys((left, "k"), (right, "t"))
+    assert hot == [[0] * left_hot, [0] * right_hot]
+    joined = join_spread(left, "k", right, "t", *hot)
     plain = left.join(right, F.col("k") == F.col("t"))
     assert joined.count() == plain.count() > 1000
     assert joined.exceptAll(plain).isEmpty()

@@ -1,0 +1,278 @@
+import json
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from citewise.sources import read_automobiles, read_people, read_speeding
+from citewise.sources.load import (
+    EmptyFeedError,
+    Feeds,
+    emptiness,
+    load_directories,
+    require_rows,
+)
+from helpers import automobiles, people, rows, ticket, tickets, write
+
+TICKET = {
+    "id": "t1",
+    "officer_id": 7,
+    "ticket_time": "2020-01-05 10:00:00",
+    "school_zone_ind": True,
+    "work_zone_ind": False,
+    "license_plate": "AB-1",
+}
+ROW = ("t1", 7, "2020-01-05 10:00:00", True, False, "AB-1")
+
+FAILURES = (PySparkException, Py4JJavaError)
+
+# Documents read whole, and the same ones read in pieces.
+WHOLE, PIECES = 1 << 30, 0
+both_ways = pytest.mark.parametrize("document_bytes", [WHOLE, PIECES])
+
+
+def envelope(*elements, **more):
+    return json.dumps({**more, "speeding_tickets": list(elements)})
+
+
+def vehicle(**tags):
+    return "<automobile>" + "".join(f"<{k}>{v}</{k}>" for k, v in tags.items()) + "</automobile>"
+
+
+def xml(*vehicles):
+    return '<?xml version="1.0"?>\n<automobiles>\n' + "\n".join(vehicles) + "\n</automobiles>\n"
+
+
+# ---- people
+
+
+def test_people_by_header_name(spark, tmp_path):
+    write(tmp_path / "p", "a.csv", "last_name|id|first_name|profession|town\nL|1|F|Baker|T\n")
+    frame = read_people(spark, str(tmp_path / "p"))
+    assert frame.columns == ["id", "first_name", "last_name", "profession", "town"]
+    assert rows(frame) == [(1, "F", "L", "Baker", "T")]
+
+
+def test_people_files_are_united_and_headers_skipped(spark, tmp_path):
+    head = "id|first_name|last_name|profession\n"
+    write(tmp_path / "p", "a.csv", head + "1|A|B|C\n")
+    write(tmp_path / "p", "b.csv", head + '2|"D|d"|E|F\nx|G|H|I\n')
+    assert rows(read_people(spark, str(tmp_path / "p"))) == [
+        (1, "A", "B", "C"),
+        (2, "D|d", "E", "F"),
+        (None, "G", "H", "I"),
+    ]
+    text = read_people(spark, str(tmp_path / "p"), key_type="string")
+    assert ("x", "G", "H", "I") in rows(text)
+
+
+def test_people_with_another_column_order_fail(spark, tmp_path):
+    write(tmp_path / "p", "a.csv", "id|first_name|last_name|profession\n1|A|B|C\n")
+    write(tmp_path / "p", "b.csv", "id|last_name|first_name|profession\n2|B|A|C\n")
+    with pytest.raises(FAILURES):
+        read_people(spark, str(tmp_path / "p")).collect()
+
+
+def test_people_without_a_column_fail(spark, tmp_path):
+    folder = write(tmp_path / "p", "a.csv", "id|first_name\n1|A\n")
+    with pytest.raises(ValueError, match="last_name"):
+        read_people(spark, folder)
+
+
+def test_people_inferred_and_with_quoted_newlines(spark, tmp_path):
+    folder = write(
+        tmp_path / "p", "a.csv", 'id|first_name|last_name|profession\n1|"A\nB"|C|D\n'
+    )
+    frame = read_people(spark, folder, infer=True, quoted_newlines=True)
+    assert dict(frame.dtypes)["id"] == "int"
+    assert rows(read_people(spark, folder, quoted_newlines=True)) == [(1, "A\nB", "C", "D")]
+
+
+# ---- speeding
+
+
+@both_ways
+def test_tickets(spark, tmp_path, document_bytes):
+    other = {**TICKET, "id": "t2", "school_zone_ind": 1, "work_zone_ind": 0, "officer_id": "x"}
+    partial = {"id": "t3"}
+    folder = write(tmp_path / "s", "a.json", envelope(TICKET, None, other))
+    write(tmp_path / "s", "b.json", json.dumps({"speeding_tickets": [partial, None]}, indent=2))
+    write(tmp_path / "s", "c.json", envelope())
+    write(tmp_path / "s", "d.json", envelope(None))
+    write(tmp_path / "s", "e.json", envelope(None, TICKET))
+    write(tmp_path / "s", "notes.txt", "not a feed")
+    assert rows(read_speeding(spark, folder, document_bytes=document_bytes)) == [
+        ROW,
+        ROW,
+        ("t2", None, ROW[2], True, False, ROW[5]),
+        ("t3", None, None, None, None, None),
+    ]
+
+
+@both_ways
+def test_escaped_text(spark, tmp_path, document_bytes):
+    plate = 'q"\\[],{ü\n'
+    folder = write(tmp_path / "s", "a.json", envelope({**TICKET, "license_plate": plate}, TICKET))
+    found = read_speeding(spark, folder, document_bytes=document_bytes)
+    # In pieces, an opening brace in a text is fine; only a closing one is not.
+    assert rows(found, "license_plate") == sorted([(plate,), ("AB-1",)], key=repr)
+
+
+def test_brace_in_text_and_nested_and_foreign_keys(spark, tmp_path):
+    odd = {**TICKET, "license_plate": "a}b", "extra": {"deep": [1, {"x": "}"}]}}
+    folder = write(tmp_path / "s", "a.json", envelope(odd, TICKET, meta={"n": 1}))
+    assert rows(read_speeding(spark, folder)) == [
+        ROW,
+        (*ROW[:5], "a}b"),
+    ]
+    with pytest.raises(FAILURES):
+        read_speeding(spark, folder, document_bytes=PIECES).collect()
+
+
+BROKEN = {
+    "no array": '{"other": []}',
+    "null array": '{"speeding_tickets": null}',
+    "cut in a ticket": envelope(TICKET, TICKET)[:-30],
+    "cut between tickets": envelope(TICKET, TICKET)[:-2],
+    "no comma": envelope(TICKET, TICKET).replace("}, {", "} {"),
+    "no json": "hello",
+}
+
+
+@both_ways
+@pytest.mark.parametrize("case", BROKEN)
+def test_broken_documents_fail(spark, tmp_path, document_bytes, case):
+    folder = write(tmp_path / "s", "a.json", BROKEN[case])
+    write(tmp_path / "s", "b.json", envelope(TICKET))
+    with pytest.raises(FAILURES):
+        read_speeding(spark, folder, document_bytes=document_bytes).collect()
+
+
+@both_ways
+def test_documents_are_routed_by_size_and_large_ones_split(spark, tmp_path, set_conf, document_bytes):
+    set_conf(spark__sql__files__maxPartitionBytes="4096")
+    expected = []
+    for n, size in enumerate((3, 400)):
+        ids = [f"{n}-{i}" for i in range(size)]
+        write(tmp_path / "s", f"{n}.json", envelope(*[{**TICKET, "id": i} for i in ids]))
+        expected += ids
+    frame = read_speeding(spark, str(tmp_path / "s"), document_bytes=document_bytes or 2000)
+    assert rows(frame, "id") == sorted((i,) for i in expected)
+    tasks = frame.rdd.getNumPartitions()
+    assert tasks > 10 if document_bytes == PIECES else tasks <= 4
+
+
+def test_speeding_inferred(spark, tmp_path):
+    folder = write(tmp_path / "s", "a.json", envelope(TICKET, None))
+    frame = read_speeding(spark, folder, infer=True)
+    assert dict(frame.dtypes)["school_zone_ind"] == "boolean"
+    assert frame.count() == 1
+
+
+# ---- automobiles
+
+
+@both_ways
+def test_every_vehicle_is_kept_and_nothing_carried_over(spark, tmp_path, document_bytes):
+    first = vehicle(person_id="1", license_plate="P1", vin="V", color="red", year="2001")
+    second = vehicle(person_id="2", license_plate="P&amp;2", year="")
+    folder = write(tmp_path / "x", "a.xml", xml(first, second))
+    write(tmp_path / "x", "b.xml", xml(vehicle(person_id="3", license_plate="007")))
+    write(tmp_path / "x", "c.xml", xml("<!-- <automobile> -->", first, "<automobile/>"))
+    write(tmp_path / "x", "d.xml", xml(vehicle(person_id="", license_plate="P4"), vehicle(vin="V")))
+    found = read_automobiles(spark, folder, document_bytes=document_bytes)
+    assert found.columns == ["person_id", "license_plate", "vin", "color", "year"]
+    assert rows(found) == [
+        ("1", "P1", "V", "red", "2001"),
+        ("1", "P1", "V", "red", "2001"),
+        ("2", "P&2", None, None, None),
+        ("3", "007", None, None, None),
+    ]
+
+
+@both_ways
+def test_unknown_element_fails_even_if_only_counted(spark, tmp_path, document_bytes):
+    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1", wheels="4")))
+    frame = read_automobiles(spark, folder, document_bytes=document_bytes)
+    for action in (frame.collect, frame.count, frame.select("vin").collect):
+        with pytest.raises(FAILURES, match="outside the expected columns"):
+            action()
+
+
+def test_chosen_columns(spark, tmp_path):
+    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1", wheels="4")))
+    frame = read_automobiles(spark, folder, columns=["person_id", "wheels"])
+    assert rows(frame) == [("1", "4")]
+    with pytest.raises(ValueError, match="person_id"):
+        read_automobiles(spark, folder, columns=["wheels"])
+
+
+@both_ways
+def test_xml_cut_in_a_vehicle_fails(spark, tmp_path, document_bytes):
+    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1"))[:-20])
+    with pytest.raises(FAILURES):
+        read_automobiles(spark, folder, document_bytes=document_bytes).collect()
+
+
+def test_xml_cut_between_vehicles_fails_in_pieces(spark, tmp_path):
+    text = xml(vehicle(person_id="1")).replace("</automobiles>", "")
+    folder = write(tmp_path / "x", "a.xml", text)
+    with pytest.raises(FAILURES, match="no single closing"):
+        read_automobiles(spark, folder, document_bytes=PIECES).collect()
+
+
+def test_closing_tag_in_a_comment_is_read_whole_and_refused_in_pieces(spark, tmp_path):
+    comment = "<!-- </automobile> <automobile> -->"
+    folder = write(tmp_path / "x", "a.xml", xml(comment, vehicle(person_id="1")))
+    assert rows(read_automobiles(spark, folder), "person_id") == [("1",)]
+    with pytest.raises(FAILURES, match="not one vehicle"):
+        read_automobiles(spark, folder, document_bytes=PIECES).collect()
+
+
+def test_large_xml_is_split(spark, tmp_path, set_conf):
+    set_conf(spark__sql__files__maxPartitionBytes="4096")
+    ids = [str(n) for n in range(500)]
+    folder = write(tmp_path / "x", "a.xml", xml(*[vehicle(person_id=i, vin=f"V{i}") for i in ids]))
+    frame = read_automobiles(spark, folder, document_bytes=PIECES)
+    assert frame.rdd.getNumPartitions() > 5
+    assert rows(frame, "person_id") == sorted((i,) for i in ids)
+
+
+def test_cdata_is_read_whole_and_refused_in_pieces(spark, tmp_path):
+    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1", vin="<![CDATA[<a>]]>")))
+    assert rows(read_automobiles(spark, folder), "vin") == [("<a>",)]
+    with pytest.raises(FAILURES):
+        read_automobiles(spark, folder, document_bytes=PIECES).collect()
+
+
+# ---- the load as a whole
+
+
+def test_missing_folders_give_typed_empty_frames_and_fail_the_gate(spark, tmp_path):
+    feeds = load_directories(spark, *[str(tmp_path / name) for name in "abc"])
+    assert [frame.isEmpty() for frame in feeds] == [True] * 3
+    assert dict(feeds.speeding.dtypes)["officer_id"] == "bigint"
+    with pytest.raises(EmptyFeedError, match="People DataFrame is Empty!"):
+        require_rows(feeds)
+
+
+def test_folders_without_feed_files_are_empty(spark, tmp_path):
+    for name in "abc":
+        (tmp_path / name).mkdir()
+    feeds = load_directories(spark, *[str(tmp_path / name) for name in "abc"])
+    assert [frame.isEmpty() for frame in feeds] == [True] * 3
+
+
+@pytest.mark.parametrize(
+    "empty, message", [(0, "People"), (1, "Speeding"), (2, "Automobiles")]
+)
+def test_gate_names_the_empty_feed(spark, empty, message):
+    full = Feeds(
+        people(spark, (1, "A", "B", "C")), tickets(spark, ticket()), automobiles(spark, ("1", "P"))
+    )
+    assert require_rows(full) is full
+    name = Feeds._fields[empty]
+    lacking = full._replace(**{name: full[empty].where("false")})
+    with pytest.raises(EmptyFeedError, match=f"{message} DataFrame is Empty!"):
+        require_rows(lacking)
+    assert rows(emptiness(lacking._asdict()).where("is_empty"), "table_name") == [(name,)]
