@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 
 
 def change_since_previous(counts: DataFrame, period: str) -> DataFrame:
-    """Adds ``change`` against the period before it that has tickets."""
-    in_order = Window.orderBy(period)
-    return counts.where(F.col(period).isNotNull()).select(
+    """Adds ``change`` against the period before it that has tickets.
+
+    A missing period sorts last and is taken out at the end. Taken out first, the
+    filter would travel into the counting of tickets, and month and year changes
+    could not share one scan.
+    """
+    in_order = Window.orderBy(F.asc_nulls_last(period))
+    return counts.select(
         period,
         "ticket_count",
         (F.col("ticket_count") - F.lag("ticket_count").over(in_order)).alias("change"),
-    )
+    ).where(F.col(period).isNotNull())
 
 
 def seasonal_index(months: DataFrame) -> DataFrame:
@@ -45,11 +50,18 @@ def month_rank_in_year(months: DataFrame) -> DataFrame:
 
 
 def month_grid(months: DataFrame) -> DataFrame:
-    """Every month from the first to the last, with 0 where there are no tickets."""
-    months = months.where(F.col("month").isNotNull())
-    grid = months.agg(F.min("month").alias("_first"), F.max("month").alias("_last")).select(
-        F.explode(F.expr("sequence(_first, _last, interval 1 month)")).alias("month")
-    )
-    return grid.join(months, "month", "left").select(
-        "month", F.coalesce("ticket_count", F.lit(0).cast("bigint")).alias("ticket_count")
+    """Every month from the first to the last, with 0 where there are no tickets.
+
+    Each month fills the gap up to the next one, so the counts are needed only once.
+    """
+    following = F.lead("month").over(Window.orderBy("month"))
+    gap = F.expr("sequence(month, coalesce(_next - interval 1 month, month), interval 1 month)")
+    return (
+        months.where(F.col("month").isNotNull())
+        .withColumn("_next", following)
+        .select("ticket_count", F.posexplode(gap).alias("_behind", "_month"))
+        .select(
+            F.col("_month").alias("month"),
+            F.when(F.col("_behind") == 0, F.col("ticket_count")).otherwise(0).alias("ticket_count"),
+        )
     )

@@ -1,4 +1,4 @@
-"""A whole run: bundles in, staged feeds, trend tables and report out."""
+"""A whole run: feeds in; staged feeds, trend tables and report out."""
 
 from __future__ import annotations
 
@@ -8,24 +8,24 @@ from citewise.functions.fees import AS_CODED, FeeSchedule
 from citewise.plans.questions import trend_tables
 from citewise.plans.report import report_lines
 from citewise.sinks.tables import read_staged, stage_feeds, write_report, write_trends
-from citewise.sources.load import load_bundles, require_rows
+from citewise.sources.load import Feeds, require_rows
 
 
 def run_report(
     spark: SparkSession,
-    bundles: str,
+    feeds: Feeds,
     out: str,
     run_id: str,
     schedule: FeeSchedule = AS_CODED,
     key_type: str = "bigint",
 ) -> str:
-    """Answers all questions about the bundles in a folder; gives the report's folder.
+    """Answers all questions about the feeds; gives the report's folder.
 
-    The bundles are decompressed and parsed once, into parquet. Everything after
-    that scans parquet.
+    The feeds, from bundles or from folders, are parsed once, into parquet.
+    Everything after that, the check for empty feeds included, scans parquet.
     """
     staged = f"{out}/staged/run_id={run_id}"
-    stage_feeds(load_bundles(spark, bundles, key_type), staged)
+    stage_feeds(feeds, staged)
     feeds = require_rows(read_staged(spark, staged, key_type))
     write_trends(*trend_tables(feeds.speeding), f"{out}/trends/run_id={run_id}")
     return write_report(report_lines(feeds, schedule), f"{out}/reports", run_id)

@@ -9,13 +9,13 @@ from citewise.sources.bundle import (
 from citewise.sources.load import (
     EmptyFeedError,
     Feeds,
-    empty_feed,
     emptiness,
     feeds_from_archives,
     load_bundles,
     load_directories,
     require_rows,
 )
+from citewise.sources.paths import empty_feed
 from citewise.sources.people import people_from_records, read_people
 from citewise.sources.speeding import read_speeding, speeding_from_records
 

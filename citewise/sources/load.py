@@ -7,7 +7,6 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from citewise.sources.automobiles import automobiles_from_records, read_automobiles
 from citewise.sources.bundle import bundle_records, list_archives
@@ -25,10 +24,6 @@ class EmptyFeedError(ValueError):
     """A feed has no rows."""
 
 
-def empty_feed(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def load_directories(
     spark: SparkSession,
     people_dir: str,

@@ -15,6 +15,11 @@ from pyspark.sql import types as T
 DOCUMENT_BYTES = 64 * 1024 * 1024
 
 
+def empty_feed(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A frame with no rows and the feed's own columns."""
+    return spark.createDataFrame([], schema)
+
+
 def read_or_empty(
     spark: SparkSession, schema: T.StructType, read: Callable[[], DataFrame]
 ) -> DataFrame:
@@ -23,7 +28,7 @@ def read_or_empty(
         return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return empty_feed(spark, schema)
         raise
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citewise.schemas import PEOPLE_COLUMNS, ddl, people_schema, strings
-from citewise.sources.paths import fail, read_or_empty
+from citewise.sources.paths import empty_feed, fail, read_or_empty
 
 SEPARATOR = "|"
 
@@ -41,7 +41,7 @@ def read_people(
             names = spark.read.csv(path, **reader).columns
         except AnalysisException as error:
             if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder with no files
-                return spark.createDataFrame([], schema)
+                return empty_feed(spark, schema)
             raise
         lines = spark.read.csv(path, schema=strings(names), enforceSchema=False, **reader)
         return _typed(lines, schema)

@@ -56,18 +56,19 @@ def write_speeding(speeding: DataFrame, path: str) -> str:
     return path
 
 
-def write_bundles(spark: SparkSession, folder: str, archives: int = 8) -> str:
+def write_bundles(spark: SparkSession, folder: str) -> str:
     """Packs the feed files below ``folder`` into zip archives next to them.
 
-    Each archive is one small group of paths; contents are streamed from file to file.
+    Archive n holds part n of each feed, so there are as many archives as parts and
+    each is one small group of paths. Contents are streamed from file to file.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(folder)
         .select("path")
-        .where(F.col("path").rlike(r"/part-[^/]*$"))
-        .withColumn("archive", F.pmod(F.xxhash64("path"), F.lit(archives)))
+        .withColumn("archive", F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1))
+        .where(F.col("archive") != "")
     )
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:

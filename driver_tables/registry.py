@@ -312,11 +312,17 @@ def src_xml_chosen_columns(spark, folder):
     return sources.read_automobiles(spark, path, columns=chosen)
 
 
+def _in_many_files(frame):
+    """At least one file per core, so that a feed is many files at any size."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 @query
 def src_dir_union(spark, folder):
-    """Eight files in one folder come back as one frame."""
+    """Many files in one folder come back as one frame."""
     path = feed_files.write_people(
-        people(spark, folder).repartition(8), _written(spark, "people")
+        _in_many_files(people(spark, folder)), _written(spark, "people")
     )
     return sources.read_people(spark, path)
 
@@ -326,7 +332,7 @@ def _bundles(spark, folder, *names):
     all_feeds = feeds(spark, folder)
     for name in names:
         frame = getattr(all_feeds, name)
-        getattr(feed_files, f"write_{name}")(frame.repartition(8), f"{base}/{name}")
+        getattr(feed_files, f"write_{name}")(_in_many_files(frame), f"{base}/{name}")
     return feed_files.write_bundles(spark, base)
 
 
@@ -365,7 +371,8 @@ def report_lines(spark, folder):
 def report_text(spark, folder):
     """The text a run leaves behind, from bundles to report file."""
     bundles = _bundles(spark, folder, "people", "speeding", "automobiles")
-    report = plans.run_report(spark, bundles, _written(spark, "out"), "check")
+    loaded = sources.load_bundles(spark, bundles)
+    report = plans.run_report(spark, loaded, _written(spark, "out"), "check")
     return spark.read.text(report).withColumnRenamed("value", "line")
 
 

@@ -1,6 +1,7 @@
 """Small frames and readings shared by the tests."""
 
 import zipfile
+from collections import Counter
 
 from citewise.schemas import automobiles_schema, people_schema, speeding_schema
 
@@ -51,3 +52,33 @@ def final_plan(frame):
 
 def planned(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def table_scans(frame):
+    """Name of table -> how often running the frame reads it; reused shuffles count once."""
+    frame.collect()
+    found, seen = Counter(), set()
+
+    def each(sequence):
+        return (sequence.apply(i) for i in range(sequence.size()))
+
+    def visit(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return visit(node.plan())
+        if kind == "ReusedExchangeExec":
+            return None
+        if kind == "FileSourceScanExec":
+            found[node.relation().location().rootPaths().head().getName()] += 1
+        for subquery in each(node.subqueries()):
+            if subquery.getClass().getSimpleName() == "SubqueryExec" and subquery.id() not in seen:
+                seen.add(subquery.id())
+                visit(subquery.child())
+        for child in each(node.children()):
+            visit(child)
+        return None
+
+    visit(frame._jdf.queryExecution().executedPlan())
+    return {name.removesuffix(".parquet"): n for name, n in found.items()}

@@ -145,7 +145,7 @@ def test_xml_and_csv_are_cut():
 def test_run_from_bundle_to_report(spark, tmp_path):
     folder = write_zip(tmp_path / "in", "a.zip", FULL)
     for _ in range(2):  # a run that is repeated leaves the same behind
-        report = run_report(spark, folder, str(tmp_path / "out"), "r1")
+        report = run_report(spark, load_bundles(spark, folder), str(tmp_path / "out"), "r1")
         lines = [r.value for r in spark.read.text(report).collect()]
         assert lines == [
             "Officer(s) Ann A distributed the most speeding tickets: 2",
@@ -163,7 +163,7 @@ def test_run_from_bundle_to_report(spark, tmp_path):
 def test_run_with_an_empty_feed_fails(spark, tmp_path):
     folder = write_zip(tmp_path / "in", "a.zip", {**FULL, "feeds/autos.xml": autos_xml()})
     with pytest.raises(EmptyFeedError, match="Automobiles"):
-        run_report(spark, folder, str(tmp_path / "out"), "r1")
+        run_report(spark, load_bundles(spark, folder), str(tmp_path / "out"), "r1")
 
 
 def test_arrivals_are_staged_once(spark, tmp_path):

@@ -1,6 +1,6 @@
 from citewise.operators import max_count, tickets_per_officer, with_max
 from citewise.plans import top_officers, top_officers_strict
-from helpers import final_plan, people, rows, ticket, tickets
+from helpers import people, rows, ticket, tickets
 
 OFFICER, OTHER = "Police Officer", "Baker"
 
@@ -49,11 +49,3 @@ def test_no_tickets(spark):
     assert rows(top_officers(staff, none)) == []
     assert rows(max_count(tickets_per_officer(none))) == [(None,)]
     assert rows(with_max(tickets_per_officer(none))) == []
-
-
-def test_tickets_are_shuffled_once(spark, sf):
-    import __spark_entry__
-
-    for name in ("top_officer", "top_officer_strict"):
-        plan = final_plan(__spark_entry__.queries()[name](spark, sf))
-        assert "ReusedExchange" in plan, name
