@@ -25,6 +25,9 @@ _VEHICLE_PIECE = rf"(?s)\A{_LEAD}(<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+>(?:[^<]++|<(?!
 _CLOSING = rf"(?s)\A{_LEAD}</{AUTOMOBILE_ROOT}\s*+>\s*+\z"
 _BLANK = r"(?s)\A\s*+\z"
 
+# How a document ends.
+_END = rf"(?s)<(?:/{AUTOMOBILE_ROOT}\s*+|{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+/)>(?:\s|<!--.*?-->|<\?.*?\?>)*+\z"
+
 
 def read_automobiles(
     spark: SparkSession,
@@ -43,12 +46,14 @@ def read_automobiles(
     schema = automobiles_schema(columns)
 
     def read() -> DataFrame:
+        small = file_size() <= document_bytes
+        texts = spark.read.text(path, wholetext=True, pathGlobFilter=files).where(small)
         whole = (
             spark.read.format("xml")
             .options(**_XML, pathGlobFilter=files)
             .schema(_open(schema))
             .load(path)
-            .where(file_size() <= document_bytes)
+            .where(small & _all_end(texts))
         )
         pieces = spark.read.text(
             path, lineSep=f"</{AUTOMOBILE_ROW}>", pathGlobFilter=files
@@ -72,6 +77,13 @@ def _matches(pattern: str) -> Column:
     return F.col("value").rlike(pattern)
 
 
+def _all_end(texts: DataFrame) -> Column:
+    """True, or a failure if a document is cut off; Spark's reader does not mind one that
+    is cut between two vehicles."""
+    cut_off = texts.agg(F.count_if(~_matches(_END))).scalar()
+    return F.when(cut_off > 0, F.raise_error(F.lit("a document has no end"))).otherwise(True)
+
+
 def _vehicle_texts(pieces: DataFrame) -> DataFrame:
     """The ``record`` texts of pieces cut after closing tags; other shapes fail."""
     text = F.col("value")

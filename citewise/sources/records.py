@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyarrow import fs
 
 _SPACE = re.compile(r"\s*")
+_FOLLOWING = tuple(",:]} \t\r\n")
 _BATCH_CHARS = 4 * 1024 * 1024
 
 
@@ -76,7 +77,8 @@ class _Json:
                 if not self.more():
                     raise
                 continue
-            if end == len(self.buffer) and self.more():  # a number may go on
+            # A number may go on until something that can follow a value is seen.
+            if self.buffer[end : end + 1] not in _FOLLOWING and self.more():
                 continue
             text, self.at = self.buffer[self.at : end], end
             return text

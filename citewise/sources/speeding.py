@@ -20,6 +20,7 @@ _OPENING = rf"(?s)\A{_OPEN}"
 _CLOSING = rf"(?s)\A(?:{_OPEN}\s*+(?:null)?+)?+(?:\s*+,\s*+null)*+\s*+\]\s*+\z"
 _BLANK = r"(?s)\A\s*+\z"
 
+_STRICT = {"mode": "FAILFAST"}
 _ENVELOPE = T.StructType([T.StructField(SPEEDING_ARRAY, T.ArrayType(strings(SPEEDING_COLUMNS)))])
 
 
@@ -53,9 +54,7 @@ def read_speeding(
         pieces = spark.read.text(path, lineSep="}", pathGlobFilter=files).where(
             file_size() > document_bytes
         )
-        tickets = _tickets(_parsed(whole, "value", _ENVELOPE)).union(
-            _parsed(_ticket_texts(pieces), "record", strings(SPEEDING_COLUMNS))
-        )
+        tickets = _tickets(_documents(whole)).union(_parsed(_ticket_texts(pieces)))
         return _typed(tickets, schema)
 
     return read_or_empty(spark, schema, read)
@@ -64,13 +63,27 @@ def read_speeding(
 def speeding_from_records(records: DataFrame, key_type: str = "bigint") -> DataFrame:
     """Tickets out of bundle records: the text of one array element each."""
     present = records.where(F.col("record") != "null")
-    tickets = _parsed(present, "record", strings(SPEEDING_COLUMNS))
-    return _typed(tickets, speeding_schema(key_type))
+    return _typed(_parsed(present), speeding_schema(key_type))
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    ticket = F.from_json("record", strings(SPEEDING_COLUMNS), _STRICT)
+    return records.select(ticket.alias("_ticket")).select("_ticket.*")
 
 
-def _parsed(texts: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    value = F.from_json(column, schema, {"mode": "FAILFAST"})
-    return texts.select(value.alias("_json")).select("_json.*")
+def _documents(texts: DataFrame) -> DataFrame:
+    """One envelope per text.
+
+    Each is parsed as the one element of an array: Spark ignores what follows a value,
+    and a second document in the text would be lost in silence.
+    """
+    in_array = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    documents = texts.select(
+        F.from_json(in_array, T.ArrayType(_ENVELOPE), _STRICT).alias("_documents")
+    )
+    several = F.raise_error(F.lit("a file does not hold one document"))
+    one = F.when(F.size("_documents") == 1, F.col("_documents")[0]).otherwise(several)
+    return documents.select(one.alias("_document")).select("_document.*")
 
 
 def _tickets(documents: DataFrame) -> DataFrame:

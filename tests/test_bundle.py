@@ -2,6 +2,8 @@ import io
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
@@ -132,6 +134,21 @@ def test_json_is_cut_exactly_at_any_chunk_size(chunk):
             list(json_records(io.BytesIO(broken), "t", chunk))
 
 
+values = st.recursive(
+    st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False) | st.text(),
+    lambda inner: st.lists(inner) | st.dictionaries(st.text(), inner),
+    max_leaves=20,
+)
+
+
+@given(st.lists(values), st.integers(1, 40), st.sampled_from([None, 1]))
+@settings(deadline=None)
+def test_any_json_is_cut_exactly(elements, chunk, indent):
+    document = json.dumps({"before": elements, "t": elements, "z": {}}, indent=indent)
+    found = json_records(io.BytesIO(document.encode()), "t", chunk)
+    assert [json.loads(text) for text in found] == elements
+
+
 def test_xml_and_csv_are_cut():
     text = b"<r><a><b>1 &amp; 2</b></a> <!-- </a> --> <a><![CDATA[<a>]]></a><a/></r>"
     assert list(xml_records(io.BytesIO(text), "a")) == [

@@ -170,3 +170,11 @@ def test_join_spread_deals_a_hot_key_out(spark, set_conf, small_is_hot, left_hot
     hot = joined.where("k = 0").groupBy(F.spark_partition_id()).count()
     sizes = [r["count"] for r in hot.collect()]
     assert len(sizes) >= 4 and max(sizes) < 0.6 * sum(sizes)
+
+
+def test_no_tickets(spark):
+    none, folk = tickets(spark), people(spark, person(1))
+    autos = automobiles(spark, ("1", "P"))
+    assert rows(owner_totals(autos, none, folk, fee())) == []
+    assert rows(ticket_vehicle_owner(autos, none, folk, fee())) == []
+    assert rows(top_payers(folk, none, autos)) == []

@@ -136,6 +136,9 @@ BROKEN = {
     "cut between tickets": envelope(TICKET, TICKET)[:-2],
     "no comma": envelope(TICKET, TICKET).replace("}, {", "} {"),
     "no json": "hello",
+    "two documents": envelope(TICKET) + envelope(TICKET),
+    "two documents and a comma": envelope(TICKET) + "," + envelope(TICKET),
+    "more text": envelope(TICKET) + " x",
 }
 
 
@@ -214,11 +217,21 @@ def test_xml_cut_in_a_vehicle_fails(spark, tmp_path, document_bytes):
         read_automobiles(spark, folder, document_bytes=document_bytes).collect()
 
 
-def test_xml_cut_between_vehicles_fails_in_pieces(spark, tmp_path):
+@both_ways
+def test_xml_cut_between_vehicles_fails(spark, tmp_path, document_bytes):
     text = xml(vehicle(person_id="1")).replace("</automobiles>", "")
     folder = write(tmp_path / "x", "a.xml", text)
-    with pytest.raises(FAILURES, match="no single closing"):
-        read_automobiles(spark, folder, document_bytes=PIECES).collect()
+    write(tmp_path / "x", "b.xml", xml(vehicle(person_id="2")))
+    with pytest.raises(FAILURES, match="no end|no single closing"):
+        read_automobiles(spark, folder, document_bytes=document_bytes).collect()
+
+
+def test_ways_to_end_xml(spark, tmp_path):
+    tail = "<!-- </automobile> -->\n<?note x?>\n"
+    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1")) + tail)
+    write(tmp_path / "x", "b.xml", "<automobiles/>")
+    write(tmp_path / "x", "c.xml", "<automobiles></automobiles >\n")
+    assert rows(read_automobiles(spark, folder), "person_id") == [("1",)]
 
 
 def test_closing_tag_in_a_comment_is_read_whole_and_refused_in_pieces(spark, tmp_path):
