@@ -154,6 +154,7 @@ def test_join_spread_deals_a_hot_key_out(spark, set_conf, small_is_hot, left_hot
     set_conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="8",
     )
 
     def side(n, hot, names):
