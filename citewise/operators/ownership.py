@@ -29,23 +29,21 @@ def ticket_vehicle_owner(
     plate: str = "license_plate",
     owner: str = "person_id",
     person: str = "id",
-    ticket: str = "id",
-    vehicle: str = "vin",
 ) -> DataFrame:
     """One row (person_id, ticket_cost) per ticket, vehicle row and people row.
 
     Inner joins: a plate on several vehicle rows, or a person id on several people
     rows, repeats the ticket. Vehicles meet their owners first, the smaller join, and
-    then the tickets. A hot plate or owner is spread over many tasks; ``ticket`` and
-    ``vehicle`` tell the rows of one plate apart for that.
+    then the tickets. A hot plate or owner is spread over many tasks. The hashes of
+    whole rows tell its rows apart for that; Spark reads no column for them otherwise.
     """
-    owned = _owned(automobiles, people, plate, owner, person, F.col(vehicle).alias("_vehicle"))
+    owned = _owned(automobiles, people, plate, owner, person, F.xxhash64("*").alias("_vehicle"))
     charged = tickets.select(
         F.col(ticket_plate).alias("_ticket_plate"),
-        F.col(ticket).alias("_ticket"),
         fee.alias("ticket_cost"),
+        F.xxhash64("*").alias("_ticket"),
     )
-    persons = people.select(F.col(person).alias("_person"))
+    persons = people.select(F.col(person).alias("_person"), F.xxhash64("*").alias("_person_row"))
     hot_owners, hot_persons, hot_plates, hot_ticketed = hot_keys(
         (owned, "person_id"), (persons, "_person"), (owned, "_plate"), (charged, "_ticket_plate")
     )

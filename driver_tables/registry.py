@@ -226,8 +226,6 @@ def ticket_vehicle_owner(spark, folder):
         table(spark, folder, "customer"),
         fn.ticket_cost(school(), work(), fn.AS_CODED),
         **OWNERSHIP,
-        ticket=TICKET_ID,
-        vehicle="o_orderdate",
     )
 
 
