@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 
 from .common import new_folder, stored
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; without room set aside in advance, which many small stores would waste.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -53,8 +56,9 @@ def remember(arrivals: DataFrame, folder: str) -> DataFrame:
     the state: digest, at (of the row that stays), rows. Later arrivals sent to the same
     folder meet all earlier ones."""
     spark = arrivals.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (
             arrivals.groupBy("digest")
@@ -66,11 +70,12 @@ def remember(arrivals: DataFrame, folder: str) -> DataFrame:
             .start()
         )
         query.awaitTermination()
+        state = spark.read.format("statestore").load(folder)
+        least, rows = state.schema["value"].dataType.names
+        return stored(state.select("key.digest", F.col(f"value.{least}").alias("at"), F.col(f"value.{rows}").alias("rows")), "seen")
     finally:
-        spark.conf.set(PROVIDER, before)
-    state = spark.read.format("statestore").load(folder)
-    least, rows = state.schema["value"].dataType.names
-    return state.select("key.digest", F.col(f"value.{least}").alias("at"), F.col(f"value.{rows}").alias("rows"))
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def assign(
@@ -95,7 +100,7 @@ def assign(
     rows.select("at", digest(F.col("text")).alias("digest")).write.parquet(folder)
     records = spark.read.parquet(folder)
     stream = spark.readStream.schema(records.schema).parquet(folder)
-    state = stored(remember(stream, state_folder or new_folder(spark, "state")), "seen")
+    state = remember(stream, state_folder or new_folder(spark, "state"))
 
     grouped = records.join(state.withColumnRenamed("at", "keep"), "digest")
     repeated = grouped.where("rows > 1").select("at", "digest", (F.col("at") == F.col("keep")).alias("first"))
