@@ -108,7 +108,7 @@ def assign(
     members = stored(texts.join(repeated, "at").select("digest", "at", "first", "text"), "members")
     firsts = members.where("first").select("digest", F.col("text").alias("first_text"))
     hits = members.where("not first").join(firsts, "digest")
-    unequal = stored(hits.where("text != first_text").select("digest").distinct(), "unequal")
+    unequal = stored(hits.where("text != first_text").select("digest"), "unequal")
     if not unequal.isEmpty():
         grouped = _regrouped(records, grouped, members, unequal)
     return grouped.select(
