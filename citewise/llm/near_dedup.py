@@ -10,10 +10,15 @@ document costs about (elements + k log k) darts, not elements x k.
 
 Signatures are cut into bands; documents that agree in a band share a bucket. Documents
 with the same words are one node from the start. In each bucket all nodes are compared
-with one hub, on their whole texts; linked nodes join a component (label propagation over
-written tables). Buckets whose nodes are all in one component are finished. In the others
-the pairs that lie in different components and were not compared are compared last, so no
-link between candidates is lost, and pairs inside a component are never listed.
+with one hub, on their whole texts; linked components join (label propagation over written
+tables). Buckets whose nodes are all in one component are finished. When another hub joins
+little more, the pairs of the other buckets that lie in different components and were not
+compared are compared, so no class is cut in two, and pairs inside a component are never
+listed.
+
+A candidate pair is compared only if its sizes allow the similarity, and if the lowest bits
+of its signatures differ in few enough places: a pair at the threshold fails that with a
+chance of 2 in 100,000, well below the chance that it shares no band (2 in 10,000).
 
 Words are lower-cased, without punctuation at their ends; a text of fewer than five words
 is one run. Defined results: one row for each distinct id. NULL and empty texts have no
@@ -35,6 +40,12 @@ from pyspark.sql import functions as F
 from .common import TokenTable, map_texts, mix, small_batches, stored
 
 WORDS, THRESHOLD, BANDS, ROWS = 5, 0.8, 28, 6
+#: Signature bits that may differ: (1 - threshold) / 2 of them are expected to, and this
+#: many standard deviations more are allowed.
+DEVIATIONS = 4.5
+#: A further hub is tried while the last one left less than this share of the open pairs.
+#: Compared texts are held in a task up to so many word runs.
+HUB_SHARE, HELD_RUNS = 0.8, 4_000_000
 #: A list of up to so many ids (24 bytes each) may be broadcast.
 BROADCAST_IDS = 500_000
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -119,20 +130,35 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def low_bits(signature: np.ndarray) -> np.ndarray:
+    """The lowest bit of every coordinate, 56 to a number."""
+    bits = (signature & np.uint64(1)).astype(np.int64)
+    whole = -(-bits.shape[1] // 56) * 56
+    bits = np.pad(bits, ((0, 0), (0, whole - bits.shape[1]))).reshape(len(bits), -1, 56)
+    return (bits << np.arange(56)).sum(2)
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, node (digest of the words) and band keys (none without words)."""
+    """id, node (digest of the words), band keys (none without words), number of word runs
+    and lowest bits of the signature."""
 
     def make():
         table = word_table()
 
         def work(texts):
             runs, keys = shingles(texts, table)
-            found = band_keys(signatures([elements(r) for r in runs], bands * rows), bands, rows)
-            return {"node": keys, "bands": [list(b) if len(r) else [] for b, r in zip(found, runs)]}
+            signature = signatures([elements(r) for r in runs], bands * rows)
+            found = band_keys(signature, bands, rows)
+            return {
+                "node": keys,
+                "bands": [list(b) if len(r) else [] for b, r in zip(found, runs)],
+                "size": [len(r) for r in runs],
+                "bits": list(low_bits(signature)),
+            }
 
         return work
 
-    return map_texts(docs, [id_col], text_col, make, "node binary, bands array<long>").withColumnRenamed(id_col, "id")
+    return map_texts(docs, [id_col], text_col, make, "node binary, bands array<long>, size int, bits array<long>").withColumnRenamed(id_col, "id")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -150,12 +176,16 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def run(frames):
         table = word_table()
         held: dict[bytes, np.ndarray] = {}
+        holds = 0
 
         def of(node, text):
+            nonlocal holds
             if node not in held:
-                if len(held) > 256:
+                if holds > HELD_RUNS:
                     held.clear()
+                    holds = 0
                 held[node] = np.sort(elements(shingles([text], table)[0][0]))
+                holds += len(held[node])
             return held[node]
 
         for frame in frames:
@@ -182,8 +212,27 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after the links: only components that a link touches are looked at."""
+    one, two = (labels.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab")
+    between = links.join(one, "a").join(two, "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+    between = stored(between.where("a != b").distinct(), "between")
+    touched = between.select(F.col("a").alias("node")).union(between.select(F.col("b").alias("node"))).distinct()
+    moved = components(stored(touched, "touched"), between).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    return stored(labels.join(moved, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "joined")
+
+
+def _likely(one: str, two: str, threshold: float, coordinates: int) -> Column:
+    """Whether the sizes and the signature bits of two members leave the pair a chance."""
+    smaller, larger = F.least(f"{one}.size", f"{two}.size"), F.greatest(f"{one}.size", f"{two}.size")
+    share = (1 - threshold) / 2
+    most = math.floor(coordinates * share + DEVIATIONS * math.sqrt(coordinates * share * (1 - share)))
+    apart = F.zip_with(f"{one}.bits", f"{two}.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return (smaller >= larger * threshold) & (F.aggregate(apart, F.lit(0), lambda n, x: n + x) <= most)
+
+
+def _pairs(one: str, two: str) -> list[Column]:
+    return [F.least(f"{one}.node", f"{two}.node").alias("a"), F.greatest(f"{one}.node", f"{two}.node").alias("b")]
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -191,10 +240,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     different texts of the class) for each distinct id of docs."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     read = signed(docs, "id", "text", bands, rows)
-    found = stored(read.groupBy("id").agg(F.min(F.struct("node", "bands")).alias("s")).select("id", "s.*"), "signed")
-    nodes = stored(found.groupBy("node").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")), "nodes")
+    found = stored(read.groupBy("id").agg(F.min(F.struct("node", "bands", "size", "bits")).alias("s")).select("id", "s.*"), "signed")
+    first = [F.first(c).alias(c) for c in ("bands", "size", "bits")]
+    nodes = stored(found.groupBy("node").agg(F.min("id").alias("rep"), *first), "nodes")
 
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    placed = nodes.select("node", "size", "bits", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stored(placed.join(shared, "bucket", "left_semi"), "members")
     active = stored(members.select("node").distinct(), "active")
@@ -202,8 +252,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     texts = stored(_texts(docs, wanted), "texts")
 
     labels = active.select("node", F.col("node").alias("comp"))
-    links = tested = None
-    for turn in range(8):
+    links = tested = before = None
+    while True:
         placed = members.join(labels, "node")
         per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"))
         live = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("inner")).where("comps > 1")
@@ -211,23 +261,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         total = live.agg(F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2).alias("pairs"), F.sum("n").alias("n")).first()
         if not total.pairs:
             break
-        last = turn > 0 and (total.pairs <= 4 * total.n or turn == 7)
+        last = before is not None and (total.pairs <= 4 * total.n or total.pairs > HUB_SHARE * before)
+        before = total.pairs
         # Members whose buckets are finished take no more part.
         members = stored(members.join(live.select("bucket"), "bucket", "left_semi"), "members")
-        placed = members.join(labels, "node")
+        placed = members.join(labels, "node").select("bucket", F.struct("node", "comp", "size", "bits").alias("one"))
         if last:
-            other = placed.select("bucket", F.col("node").alias("node2"), F.col("comp").alias("comp2"))
-            pairs = placed.join(other, "bucket").where("comp < comp2").select(*_ordered("node", "node2"))
+            pairs = placed.join(placed.withColumnRenamed("one", "two"), "bucket").where(F.col("one.comp") < F.col("two.comp"))
         else:
-            hub = placed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "comp")).alias("hub"))
-            pairs = placed.join(hub, "bucket").where(F.col("comp") != F.col("hub.comp")).select(*_ordered("node", "hub.node"))
-        pairs = pairs.distinct()
+            turn = F.lit(0 if tested is None else before)
+            hub = placed.groupBy("bucket").agg(F.min_by("one", F.struct(F.xxhash64(turn, "one.node"), "one.node")).alias("two"))
+            pairs = placed.join(hub, "bucket").where(F.col("one.comp") != F.col("two.comp"))
+        pairs = pairs.where(_likely("one", "two", threshold, bands * rows)).select(*_pairs("one", "two")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         new = stored(linked(pairs, texts, threshold), "links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
-            labels = components(active, links)
+            labels = _joined(labels, new)
         if last:
             break
     labelled = found.select("id", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
