@@ -94,7 +94,7 @@ def probe(probes: DataFrame, packed: DataFrame) -> DataFrame:
 
     def search(key, asked, rows):
         if rows.empty or asked.empty:
-            return pd.DataFrame({"probe": [], "verdict": []})
+            return pd.DataFrame({"probe": [], "verdict": []}, dtype=object)
         row = rows.iloc[0]
         handle, name = tempfile.mkstemp(suffix=".keys")
         try:
@@ -107,7 +107,8 @@ def probe(probes: DataFrame, packed: DataFrame) -> DataFrame:
             os.unlink(name)
         blocks = np.frombuffer(row["blocks"], bool)
         hit = at >= 0
-        return pd.DataFrame({"probe": asked["probe"][hit], "verdict": np.where(blocks[at[hit]], "block", "allow")})
+        verdicts = np.where(blocks[at[hit]], "block", "allow").astype(object)
+        return pd.DataFrame({"probe": asked["probe"].to_numpy(object)[hit], "verdict": verdicts}, dtype=object)
 
     return probes.groupBy("shard").cogroup(packed.groupBy("shard")).applyInPandas(search, "probe string, verdict string")
 
