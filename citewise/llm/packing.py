@@ -20,12 +20,13 @@ from __future__ import annotations
 
 import math
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TokenTable, map_texts, stored
+from .common import TokenTable, map_texts, stored, sums
 from .pretokens import classes, pretokens
 
 WINDOW = 1024
@@ -41,11 +42,17 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int
         coder.encode_special_tokens = True
         kinds = classes()
 
+        flat = np.zeros(0, "<u4")
+
         def compute(words):
+            """Where the ids of each word begin in flat, and how many they are."""
+            nonlocal flat
             found = [e.ids for e in coder.encode_batch_fast(words, add_special_tokens=False)]
-            out = np.empty(len(found), object)
-            out[:] = [np.array(x, "<u4") for x in found]
-            return (out,)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            begins = (len(flat) if table.values else 0) + np.cumsum(sizes) - sizes
+            fresh = np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
+            flat = np.concatenate([flat, fresh]) if table.values else fresh
+            return begins, sizes
 
         table = TokenTable(compute)
 
@@ -53,11 +60,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int
             out = {c: [] for c in ("row", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * ids)}
             cut = [pretokens(t or "", kinds) for t in texts]
             rows = table.rows([w for c in cut for w in c])
-            at = 0
-            for i, words in enumerate(cut):
-                parts = table.values[0][rows[at : at + len(words)]] if words else []
-                at += len(words)
-                tokens = np.concatenate([*parts, np.array([end], "<u4")])
+            begins, sizes = (v[rows] for v in table.values) if len(rows) else (rows, rows)
+            places = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
+            every = flat[places]
+            ends = np.cumsum(sums(sizes, np.array([len(c) for c in cut], np.int64))).tolist()
+            for i, (low, high) in enumerate(zip([0, *ends], ends)):
+                tokens = np.append(every[low:high], np.array([end], "<u4"))
                 for start in range(0, len(tokens), window):
                     piece = tokens[start : start + window]
                     for c, v in zip(out, (i, start, len(piece), zlib.crc32(piece.tobytes()), len(tokens), *[piece] * ids)):
