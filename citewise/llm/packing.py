@@ -18,51 +18,94 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from itertools import chain
 
 import numpy as np
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TokenTable, map_texts, stored, sums
-from .pretokens import classes, pretokens
+from .common import map_texts, stored, sums
+from .pretokens import class_runs, pretokens
 
 WINDOW = 1024
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = 0, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
-    """id, start, length, ids_crc32, doc_tokens (and ids) of the pieces of each text."""
-
-    def make():
-        from tokenizers import Tokenizer
+def byte_symbols() -> dict[str, int]:
+    """Byte-level vocabularies write a printable byte as itself, and the others, in their
+    order, as the characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def merge_ranks(tokenizer: str) -> dict[bytes, int]:
+    """Bytes of each token to its id, from a tokenizers file. Pairs that merge must merge in
+    the order of their ids, and nothing but the byte-level cut may come before."""
+    with open(tokenizer, encoding="utf-8") as file:
+        whole = json.load(file)
+    model, cut, symbols = whole["model"], whole["pre_tokenizer"], byte_symbols()
+    special = {t["content"] for t in whole["added_tokens"]}
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in special}
+    made = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    fits = (
+        model["type"] == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        and (cut["type"], cut["add_prefix_space"], cut["use_regex"]) == ("ByteLevel", False, True)
+        and whole["normalizer"] is None
+        and made == sorted(made)
+        and len(vocabulary) == len(made) + 256
+    )
+    if not fits:
+        raise ValueError("only byte-level vocabularies of ordered merges are taken")
+    return {bytes(symbols[c] for c in t): i for t, i in vocabulary.items()}
+
+
+class PretokenIds:
+    """Ids of pre-tokens, each distinct one encoded once and kept in one array. It starts
+    anew when it holds more than `limit`."""
+
+    def __init__(self, ranks: dict[bytes, int], limit: int = 300_000):
+        self.encode = tiktoken._tiktoken.CoreBPE(ranks, {}, r"\s+|\S+").encode_single_piece
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.begins, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each word has."""
+        if len(self.index) > self.limit:
+            self.clear()
+        fresh = list(set(words).difference(self.index))
+        found = [self.encode(w.encode()) for w in fresh]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
+        self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))])
+        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        sizes = self.sizes[rows]
+        places = np.arange(sizes.sum()) + np.repeat(self.begins[rows] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[places], sizes
 
-        coder = Tokenizer.from_file(tokenizer)
-        coder.encode_special_tokens = True
-        kinds = classes()
 
-        flat = np.zeros(0, "<u4")
+def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = 0, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
+    """id, start, length, ids_crc32, doc_tokens (and ids) of the pieces of each text."""
 
-        def compute(words):
-            """Where the ids of each word begin in flat, and how many they are."""
-            nonlocal flat
-            found = [e.ids for e in coder.encode_batch_fast(words, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            begins = (len(flat) if table.values else 0) + np.cumsum(sizes) - sizes
-            fresh = np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
-            flat = np.concatenate([flat, fresh]) if table.values else fresh
-            return begins, sizes
+    runs, ranks = class_runs(), merge_ranks(tokenizer)
 
-        table = TokenTable(compute)
+    def make():
+        kinds, coder = np.repeat(*runs), PretokenIds(ranks)
 
         def work(texts):
             out = {c: [] for c in ("row", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * ids)}
             cut = [pretokens(t or "", kinds) for t in texts]
-            rows = table.rows([w for c in cut for w in c])
-            begins, sizes = (v[rows] for v in table.values) if len(rows) else (rows, rows)
-            places = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
-            every = flat[places]
+            every, sizes = coder([w for c in cut for w in c])
             ends = np.cumsum(sums(sizes, np.array([len(c) for c in cut], np.int64))).tolist()
             for i, (low, high) in enumerate(zip([0, *ends], ends)):
                 tokens = np.append(every[low:high], np.array([end], "<u4"))

@@ -7,6 +7,7 @@ The cut is that of the pattern
 from __future__ import annotations
 
 import sys
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -28,6 +29,14 @@ def classes() -> np.ndarray:
     return table
 
 
+@lru_cache(1)
+def class_runs() -> tuple[np.ndarray, np.ndarray]:
+    """The same in short, to be sent to tasks: each run of one class, and its length."""
+    table = classes()
+    begins = np.flatnonzero(np.concatenate([[True], table[1:] != table[:-1]]))
+    return table[begins], np.diff(np.append(begins, len(table)))
+
+
 def pretokens(text: str, table: np.ndarray) -> list[str]:
     if not text:
         return []

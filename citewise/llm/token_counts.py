@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import TokenTable, map_texts, sums
-from .pretokens import classes, pretokens
+from .pretokens import class_runs, pretokens
 
 
 def piece_scores(path: str) -> dict[bytes, float]:
@@ -72,9 +72,10 @@ class Trie:
 
 def count_tokens(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_pretokens, n_tokens, score of every text."""
+    runs = class_runs()
 
     def make():
-        kinds = classes()
+        kinds = np.repeat(*runs)
         table = TokenTable(Trie(piece_scores(ranks_path)).terminals)
 
         def work(texts):
