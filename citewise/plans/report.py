@@ -26,26 +26,14 @@ MONTHS_HEADING = "These are the top three months by total tickets written"
 PAYERS_HEADING = "These are the top ten most ticketed drivers by total ticket dollars levied"
 TRENDS_HEADING = "Tickets written per year and month, with the change since the one before"
 
-# Up to this many tied officers share one line; more of them get a line each.
-NAMES_PER_LINE = 1000
-
 
 def officer_lines(top: DataFrame) -> DataFrame:
-    """One line with all tied names; if there are very many, one line per name."""
+    """One line with all tied names, however many."""
     named = top.select(full_name(F.col("first_name"), F.col("last_name")).alias("name"), "ticket_count")
-    tied = top.agg(F.count("*")).scalar()
-    one = (
-        named.where(tied <= NAMES_PER_LINE)
-        .agg(joined_names(F.col("name")).alias("names"), F.max("ticket_count").alias("most"))
-        .where(tied <= NAMES_PER_LINE)
-        .select(
-            F.format_string(OFFICERS_LINE, "names", F.coalesce("most", F.lit(0))).alias("line")
-        )
-    )
-    each = named.where(tied > NAMES_PER_LINE).select(
-        F.format_string(OFFICERS_LINE, "name", "ticket_count").alias("line")
-    )
-    return _lines("1", F.lit(1), one.union(each))
+    one = named.agg(
+        joined_names(F.col("name")).alias("names"), F.max("ticket_count").alias("most")
+    ).select(F.format_string(OFFICERS_LINE, "names", F.coalesce("most", F.lit(0))).alias("line"))
+    return _lines("1", F.lit(1), one)
 
 
 def month_lines(top: DataFrame) -> DataFrame:

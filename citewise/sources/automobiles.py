@@ -25,6 +25,11 @@ _VEHICLE_PIECE = rf"(?s)\A{_LEAD}(<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+>(?:[^<]++|<(?!
 _CLOSING = rf"(?s)\A{_LEAD}</{AUTOMOBILE_ROOT}\s*+>\s*+\z"
 _BLANK = r"(?s)\A\s*+\z"
 
+# What is left of a document without comments, CDATA, instructions and vehicles.
+_MARKS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+_VEHICLE = rf"(?s)<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+(?<=/)>|<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+>.*?</{AUTOMOBILE_ROW}\s*+>"
+_BARE = rf"(?s)\A[^<]*+(?:<!DOCTYPE[^>]*+>[^<]*+)?+(?:<{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+(?<=/)>|<{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+>[^<]*+</{AUTOMOBILE_ROOT}\s*+>)\s*+\z"
+
 # How a document ends.
 _END = rf"(?s)<(?:/{AUTOMOBILE_ROOT}\s*+|{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+/)>(?:\s|<!--.*?-->|<\?.*?\?>)*+\z"
 
@@ -78,10 +83,14 @@ def _matches(pattern: str) -> Column:
 
 
 def _all_end(texts: DataFrame) -> Column:
-    """True, or a failure if a document is cut off; Spark's reader does not mind one that
-    is cut between two vehicles."""
-    cut_off = texts.agg(F.count_if(~_matches(_END))).scalar()
-    return F.when(cut_off > 0, F.raise_error(F.lit("a document has no end"))).otherwise(True)
+    """True, or a failure if a document is cut off or holds elements beside the vehicles;
+    Spark's reader minds neither a cut between two vehicles nor other elements."""
+    bare = F.regexp_replace(F.regexp_replace("value", _MARKS, ""), _VEHICLE, "")
+    flaws = texts.agg(
+        F.when(F.count_if(~_matches(_END)) > 0, "a document has no end")
+        .when(F.count_if(~bare.rlike(_BARE)) > 0, "an element outside the expected columns stands beside the vehicles")
+    ).scalar()
+    return F.when(flaws.isNotNull(), F.raise_error(flaws)).otherwise(True)
 
 
 def _vehicle_texts(pieces: DataFrame) -> DataFrame:

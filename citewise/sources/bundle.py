@@ -15,7 +15,8 @@ from typing import BinaryIO
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citewise.schemas import AUTOMOBILE_ROW, SPEEDING_ARRAY
+from citewise.schemas import AUTOMOBILE_ROW, PEOPLE_COLUMNS, SPEEDING_ARRAY
+from citewise.sources.people import SEPARATOR
 from citewise.sources.records import (
     csv_records,
     json_records,
@@ -29,12 +30,15 @@ from citewise.sources.records import (
 FEED_OF_EXTENSION = {"csv": "people", "json": "speeding", "xml": "automobiles"}
 
 _CUTTERS = {
-    "people": csv_records,
+    "people": partial(csv_records, separator=SEPARATOR, required=PEOPLE_COLUMNS),
     "speeding": partial(json_records, key=SPEEDING_ARRAY),
     "automobiles": partial(xml_records, tag=AUTOMOBILE_ROW),
 }
 _RESOURCE_FORKS = "__MACOSX/"
 
+# Archives are known by their extension, in any case.
+ARCHIVES = "*.[zZ][iI][pP]"
+
 # More tasks than cores, so that a long member holds up only itself.
 _TASKS_PER_CORE = 4
 
@@ -42,13 +46,13 @@ _TASKS_PER_CORE = 4
 _BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def list_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+def list_archives(spark: SparkSession, path: str, pattern: str = ARCHIVES) -> DataFrame:
     """The archives of a folder. Only paths are read: the content column is pruned."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
 
 
 def stream_archives(
-    spark: SparkSession, path: str, pattern: str = "*.zip", archives_per_batch: int = 1000
+    spark: SparkSession, path: str, pattern: str = ARCHIVES, archives_per_batch: int = 1000
 ) -> DataFrame:
     """The archives of a folder as they arrive."""
     return (
@@ -95,7 +99,7 @@ def bundle_records(
     tasks: int | None = None,
     open_file: Callable[[str], BinaryIO] = open_path,
 ) -> DataFrame:
-    """(archive, member, header, record) for one feed: the text of every record.
+    """(archive, member, record) for one feed: the text of every record.
 
     The members are spread over a fixed number of tasks, since adaptive execution
     would judge them by the few bytes of their names and put them all into one.
@@ -110,8 +114,7 @@ def bundle_records(
         .repartition(tasks or cores * _TASKS_PER_CORE, "archive", "member")
     )
     return members.mapInArrow(
-        record_cutter(open_file, _CUTTERS[feed], with_header=feed == "people"),
-        "archive string, member string, header string, record string",
+        record_cutter(open_file, _CUTTERS[feed]), "archive string, member string, record string"
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -40,21 +41,31 @@ def load_directories(
 
 
 def feeds_from_archives(
-    archives: DataFrame, key_type: str = "bigint", tasks: int | None = None
+    archives: DataFrame,
+    key_type: str = "bigint",
+    tasks: int | None = None,
+    more_people: Sequence[str] = (),
 ) -> Feeds:
-    """The feeds out of a frame of archive paths, batch or streaming."""
+    """The feeds out of a frame of archive paths, batch or streaming.
+
+    ``more_people`` names columns of the people files to keep beside the declared ones.
+    """
     return Feeds(
-        people_from_records(bundle_records(archives, "people", tasks), key_type),
+        people_from_records(bundle_records(archives, "people", tasks), key_type, more_people),
         speeding_from_records(bundle_records(archives, "speeding", tasks), key_type),
         automobiles_from_records(bundle_records(archives, "automobiles", tasks)),
     )
 
 
 def load_bundles(
-    spark: SparkSession, path: str, key_type: str = "bigint", tasks: int | None = None
+    spark: SparkSession,
+    path: str,
+    key_type: str = "bigint",
+    tasks: int | None = None,
+    more_people: Sequence[str] = (),
 ) -> Feeds:
     """The feeds from all zip bundles of a folder."""
-    return feeds_from_archives(list_archives(spark, path), key_type, tasks)
+    return feeds_from_archives(list_archives(spark, path), key_type, tasks, more_people)
 
 
 def require_rows(feeds: Feeds) -> Feeds:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citewise.schemas import PEOPLE_COLUMNS, ddl, people_schema, strings
-from citewise.sources.paths import empty_feed, fail, read_or_empty
+from citewise.schemas import PEOPLE_COLUMNS, people_schema, strings
+from citewise.sources.paths import empty_feed, read_or_empty
 
 SEPARATOR = "|"
 
@@ -52,20 +52,14 @@ def read_people(
 def people_from_records(
     records: DataFrame,
     key_type: str = "bigint",
-    header: Sequence[str] = PEOPLE_COLUMNS,
+    more: Sequence[str] = (),
 ) -> DataFrame:
-    """People out of bundle records: one text line each, with the header of its file.
+    """People out of bundle records: one object each, by the names in its file's header.
 
-    ``header`` is the expected header; a file with another one fails the job. As in
-    Spark's default CSV reading, a line break ends the record, in quotes too.
+    Files may order their columns as they like. ``more`` names columns to keep beside
+    the declared ones, as text; a file without such a column gives NULL.
     """
-    found = F.regexp_replace("header", '"', "")
-    expected = SEPARATOR.join(header)
-    message = F.concat(
-        F.lit(f"expected header {expected} but found "), found, F.lit(" in "), F.col("member")
-    )
-    line = F.when(found == expected, F.col("record")).otherwise(fail(message))
-    person = F.from_csv(line, ddl(strings(header)), {"sep": SEPARATOR})
+    person = F.from_json("record", strings([*PEOPLE_COLUMNS, *more]), {"mode": "FAILFAST"})
     return _typed(records.select(person.alias("p")).select("p.*"), people_schema(key_type))
 
 

@@ -7,11 +7,12 @@ Nothing is held whole. Typing the records is Spark's work again.
 
 from __future__ import annotations
 
+import csv
 import io
 import json
 import re
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import BinaryIO
 from xml.etree import ElementTree
 
@@ -111,22 +112,41 @@ def json_records(stream: BinaryIO, key: str, chunk: int = 1 << 20) -> Iterator[s
 
 def xml_records(stream: BinaryIO, tag: str) -> Iterator[str]:
     """The ``tag`` elements of a document, as text."""
-    root = None
+    root, depth = None, 0
     for event, element in ElementTree.iterparse(stream, events=("start", "end")):
-        if root is None:
-            root = element
-        if event == "end" and element.tag == tag:
+        if event == "start":
+            root = element if root is None else root
+            if depth == 1 and element.tag != tag:
+                raise ValueError(f"an element {element.tag} stands where only {tag} may")
+            depth += 1
+            continue
+        depth -= 1
+        if depth == 1:
             element.tail = None
             yield ElementTree.tostring(element, encoding="unicode")
             root.clear()
 
 
-def csv_records(stream: BinaryIO) -> Iterator[str]:
-    """The lines of a text, the header first; empty lines are left out."""
-    for line in io.TextIOWrapper(stream, encoding="utf-8-sig"):
-        line = line.rstrip("\n")
-        if line:
-            yield line
+def csv_records(
+    stream: BinaryIO, separator: str = "|", required: Sequence[str] = ()
+) -> Iterator[str]:
+    """The records of a text with a header, each as a JSON object by the header's names.
+
+    Line breaks in quotes belong to the record; a quote in quotes is doubled. Empty
+    values are null, empty lines are left out. A quote that never closes, and a header
+    that lacks a required name, fail.
+    """
+    csv.field_size_limit(1 << 30)
+    text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
+    lines = (line for line in csv.reader(text, delimiter=separator, strict=True) if line)
+    header = next(lines, None)
+    if header is None:
+        return
+    missing = [name for name in required if name not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {header}")
+    for line in lines:
+        yield json.dumps({name: value or None for name, value in zip(header, line)})
 
 
 def member_lister(open_file: Callable[[str], BinaryIO]):
@@ -151,17 +171,15 @@ def member_lister(open_file: Callable[[str], BinaryIO]):
 def record_cutter(
     open_file: Callable[[str], BinaryIO],
     cut: Callable[[BinaryIO], Iterator[str]],
-    with_header: bool = False,
 ):
     """For ``mapInArrow``: (archive, member) rows in, one row per record out."""
 
-    def rows(archive: str, member: str, header: str | None, records: list[str]) -> pa.RecordBatch:
+    def rows(archive: str, member: str, records: list[str]) -> pa.RecordBatch:
         n = len(records)
         return pa.RecordBatch.from_pydict(
             {
                 "archive": pa.array([archive] * n, pa.string()),
                 "member": pa.array([member] * n, pa.string()),
-                "header": pa.array([header] * n, pa.string()),
                 "record": pa.array(records, pa.string()),
             }
         )
@@ -175,16 +193,14 @@ def record_cutter(
                     zipfile.ZipFile(stream) as archive,
                     archive.open(member) as content,
                 ):
-                    records = cut(content)
-                    header = next(records, None) if with_header else None
                     held, chars = [], 0
-                    for record in records:
+                    for record in cut(content):
                         held.append(record)
                         chars += len(record)
                         if chars >= _BATCH_CHARS:
-                            yield rows(path, member, header, held)
+                            yield rows(path, member, held)
                             held, chars = [], 0
                     if held:
-                        yield rows(path, member, header, held)
+                        yield rows(path, member, held)
 
     return cut_members

@@ -6,6 +6,7 @@ The source queries read these files back, so their work grows with the tables.
 from __future__ import annotations
 
 import shutil
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -75,8 +76,10 @@ def write_bundles(spark: SparkSession, folder: str) -> str:
         base = group["path"].iloc[0].rsplit("/", 2)[0]
         system, target = locate(f"{base}/bundles/bundle-{group['archive'].iloc[0]}.zip")
         system.create_dir(target.rsplit("/", 1)[0])
+        # Two attempts of a task never write the same file; the last one to end stays.
+        own = f"{target}.{uuid.uuid4().hex}"
         with (
-            system.open_output_stream(target) as out,
+            system.open_output_stream(own) as out,
             zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as bundle,
         ):
             for path in sorted(group["path"]):
@@ -84,6 +87,7 @@ def write_bundles(spark: SparkSession, folder: str) -> str:
                 name = f"feeds/{file.rsplit('.', 1)[0]}.{EXTENSIONS[feed]}"
                 with open_path(path) as content, bundle.open(name, "w", force_zip64=True) as member:
                     shutil.copyfileobj(content, member, 1 << 20)
+        system.move(own, target)
         return pd.DataFrame({"written": [target]})
 
     files.groupBy("archive").applyInPandas(pack, "written string").write.mode("overwrite").parquet(

@@ -345,6 +345,34 @@ def src_zip_bundle_people(spark, folder):
     return sources.load_bundles(spark, _bundles(spark, folder, "people")).people
 
 
+@query
+def src_zip_bundle_people_wide(spark, folder):
+    """People files with a column more, at the front."""
+    base = _written(spark, "feeds")
+    nation = F.col("c_nationkey").cast("string").alias("nation")
+    wide = table(spark, folder, "customer").select(nation, F.col("c_custkey").alias("_key"))
+    wide = people(spark, folder).join(wide, F.col("id") == F.col("_key")).drop("_key")
+    wide = wide.select("nation", *[c for c in wide.columns if c != "nation"])
+    feed_files.write_people(_in_many_files(wide), f"{base}/people")
+    bundles = feed_files.write_bundles(spark, base)
+    return sources.load_bundles(spark, bundles, more_people=["nation"]).people
+
+
+@query
+def src_json_inferred(spark, folder):
+    """Types as Spark finds them in the documents."""
+    path = feed_files.write_speeding(speeding(spark, folder), _written(spark, "speeding"))
+    return sources.read_speeding(spark, path, infer=True, files="*.txt")
+
+
+@query
+def src_dir_missing(spark, folder):
+    """A folder that is missing adds no rows to one that is there."""
+    path = feed_files.write_people(people(spark, folder), _written(spark, "people"))
+    missing = sources.read_people(spark, _written(spark, "missing"))
+    return sources.read_people(spark, path).unionByName(missing)
+
+
 @query
 def src_zip_bundle_automobiles(spark, folder):
     return sources.load_bundles(spark, _bundles(spark, folder, "automobiles")).automobiles
@@ -382,6 +410,14 @@ def trend_sink(spark, folder):
     return spark.read.parquet(f"{path}/months")
 
 
+@query
+def trend_sink_years(spark, folder):
+    """The year table as the chart would read it."""
+    path = _written(spark, "trends")
+    sinks.write_trends(_months(spark, folder), _years(spark, folder), path)
+    return spark.read.parquet(f"{path}/years")
+
+
 # ---- streams
 
 
@@ -397,6 +433,44 @@ def stream_bundle(spark, folder):
     return sinks.read_staged(spark, f"{out}/staged").speeding.drop("ticket_year")
 
 
+def _arrived(spark, folder, name):
+    bundles = _bundles(spark, folder, name)
+    out = _written(spark, "arrivals")
+    started = streaming.stage_arrivals(spark, bundles, f"{out}/staged", f"{out}/checkpoints")
+    for arrival in started:
+        arrival.awaitTermination()
+    return getattr(sinks.read_staged(spark, f"{out}/staged"), name)
+
+
+@query
+def stream_bundle_people(spark, folder):
+    return _arrived(spark, folder, "people")
+
+
+@query
+def stream_bundle_automobiles(spark, folder):
+    return _arrived(spark, folder, "automobiles")
+
+
+@query
+def stream_month_counts_closed(spark, folder):
+    """The months that can change no more: all but the newest one."""
+    schema = _lineitem(spark, folder).schema
+    tickets = spark.readStream.schema(schema).parquet(f"{folder}/lineitem*.parquet")
+    out = _written(spark, "closed")
+    counts = streaming.month_counts_stream(tickets, TICKET_TIME, TICKET_ID, lateness="1 day")
+    started = (
+        counts.writeStream.format("parquet")
+        .option("path", f"{out}/counts")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    started.awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{out}/counts")
+
+
 @query
 def stream_month_counts(spark, folder):
     schema = _lineitem(spark, folder).schema
@@ -571,5 +645,15 @@ SQL = {
     "report_text": f"SELECT line FROM ({_REPORT})",
     "trend_sink": _MONTHS,
     "stream_bundle": _SPEEDING,
+    "stream_bundle_people": _PEOPLE,
+    "stream_bundle_automobiles": _AUTOMOBILES,
     "stream_month_counts": _MONTHS,
+    "stream_month_counts_closed": f"""WITH m AS ({_MONTHS})
+        SELECT * FROM m WHERE month < (SELECT max(month) FROM m)""",
+    "trend_sink_years": _YEARS,
+    "src_json_inferred": _SPEEDING,
+    "src_dir_missing": _PEOPLE,
+    "src_zip_bundle_people_wide": _PEOPLE.replace(
+        " FROM customer", ", CAST(c_nationkey AS VARCHAR) AS nation FROM customer"
+    ),
 }

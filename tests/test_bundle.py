@@ -99,13 +99,35 @@ def test_paths_with_spaces(spark, tmp_path):
     assert load_bundles(spark, folder).people.count() == 2
 
 
-def test_another_header_fails(spark, tmp_path):
-    text = "id|last_name|first_name|profession\n1|A|Ann|Baker\n"
+def test_people_go_by_their_own_header(spark, tmp_path):
+    """Other orders, more columns, line breaks in quotes; names of archives in any case."""
+    wide = 'id|last_name|first_name|age|profession\n1|A|"Ann\n""x"""|7|Baker\n\n2|B|Bob||\n'
+    folder = write_zip(tmp_path / "in", "a.ZIP", {"p.csv": wide})
+    write_zip(tmp_path / "in", "b.zip", {"q.csv": HEADER + "3|Cy|C|Baker\n", "none.csv": ""})
+    feeds = load_bundles(spark, folder, more_people=["age"])
+    assert feeds.people.columns == ["id", "first_name", "last_name", "profession", "age"]
+    assert rows(feeds.people) == [
+        (1, 'Ann\n"x"', "A", "Baker", "7"),
+        (2, "Bob", "B", None, None),
+        (3, "Cy", "C", "Baker", None),
+    ]
+    assert load_bundles(spark, folder).people.columns == people_schema().names
+
+
+@pytest.mark.parametrize("text", ["id|last_name\n1|A\n", HEADER + '1|"Ann|A|Baker\n'])
+def test_a_lacking_column_and_an_open_quote_fail(spark, tmp_path, text):
     folder = write_zip(tmp_path / "in", "a.zip", {"p.csv": text})
-    with pytest.raises(FAILURES, match="expected header"):
+    with pytest.raises(FAILURES, match="not in the header|unexpected end of data"):
         load_bundles(spark, folder).people.collect()
 
 
+def test_element_beside_the_vehicles_fails(spark, tmp_path):
+    text = autos_xml((1, "P1"), (3, "P3")).replace("<automobile>", "<truck/><automobile>", 1)
+    folder = write_zip(tmp_path / "in", "a.zip", {"a.xml": text})
+    with pytest.raises(FAILURES, match="truck"):
+        load_bundles(spark, folder).automobiles.collect()
+
+
 def test_unknown_element_fails(spark, tmp_path):
     text = "<automobiles><automobile><person_id>1</person_id><x>2</x></automobile></automobiles>"
     folder = write_zip(tmp_path / "in", "a.zip", {"a.xml": text})
@@ -156,7 +178,8 @@ def test_xml_and_csv_are_cut():
         "<a>&lt;a&gt;</a>",
         "<a />",
     ]
-    assert list(csv_records(io.BytesIO(b"\xef\xbb\xbfh\r\n1\n\n2"))) == ["h", "1", "2"]
+    records = csv_records(io.BytesIO(b"\xef\xbb\xbfh|i\r\n1|\n\n2|b"))
+    assert [json.loads(r) for r in records] == [{"h": "1", "i": None}, {"h": "2", "i": "b"}]
 
 
 def test_run_from_bundle_to_report(spark, tmp_path):

@@ -202,6 +202,16 @@ def test_unknown_element_fails_even_if_only_counted(spark, tmp_path, document_by
             action()
 
 
+@both_ways
+@pytest.mark.parametrize("place", range(3))
+def test_element_beside_the_vehicles_fails(spark, tmp_path, document_bytes, place):
+    parts = [vehicle(person_id="1"), vehicle(person_id="3")]
+    parts.insert(place, "<truck><person_id>2</person_id></truck>")
+    folder = write(tmp_path / "x", "a.xml", xml(*parts))
+    with pytest.raises(FAILURES):
+        read_automobiles(spark, folder, document_bytes=document_bytes).collect()
+
+
 def test_chosen_columns(spark, tmp_path):
     folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1", wheels="4")))
     frame = read_automobiles(spark, folder, columns=["person_id", "wheels"])
