@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citewise.schemas import AUTOMOBILE_ROOT, AUTOMOBILE_ROW, OWNER_COLUMN, automobiles_schema
-from citewise.sources.paths import DOCUMENT_BYTES, fail, file_size, read_or_empty
+from citewise.sources.lexers import XmlLexer
+from citewise.sources.paths import fail, read_or_empty
+from citewise.sources.ranges import read_records
 
 FILES = "*.xml"
 
@@ -17,115 +19,47 @@ FILES = "*.xml"
 _OTHERS = "xs_any"
 _XML = {"rowTag": AUTOMOBILE_ROW, "nullValue": "", "mode": "FAILFAST", "wildcardColName": _OTHERS}
 
-# How a large document is cut: after every closing tag. A piece is then, maybe, the
-# opening of the document and empty elements, followed by one vehicle.
-_COMMENT = r"(?s)<!--.*?-->"
-_LEAD = rf"(?:\s++|<\?[^>]*+>|<!DOCTYPE[^>]*+>|<{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+>|<{AUTOMOBILE_ROW}\s*+/>)*+"
-_VEHICLE_PIECE = rf"(?s)\A{_LEAD}(<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+>(?:[^<]++|<(?!{AUTOMOBILE_ROW}[\s>/]|/{AUTOMOBILE_ROOT}|!))*+)\z"
-_CLOSING = rf"(?s)\A{_LEAD}</{AUTOMOBILE_ROOT}\s*+>\s*+\z"
-_BLANK = r"(?s)\A\s*+\z"
-
-# What is left of a document without comments, CDATA, instructions and vehicles.
-_MARKS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
-_VEHICLE = rf"(?s)<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+(?<=/)>|<{AUTOMOBILE_ROW}(?:\s[^>]*+)?+>.*?</{AUTOMOBILE_ROW}\s*+>"
-_BARE = rf"(?s)\A[^<]*+(?:<!DOCTYPE[^>]*+>[^<]*+)?+(?:<{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+(?<=/)>|<{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+>[^<]*+</{AUTOMOBILE_ROOT}\s*+>)\s*+\z"
-
-# How a document ends.
-_END = rf"(?s)<(?:/{AUTOMOBILE_ROOT}\s*+|{AUTOMOBILE_ROOT}(?:\s[^>]*+)?+/)>(?:\s|<!--.*?-->|<\?.*?\?>)*+\z"
-
 
 def read_automobiles(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] | None = None,
-    document_bytes: int = DOCUMENT_BYTES,
+    range_bytes: int | None = None,
     files: str = FILES,
 ) -> DataFrame:
     """All XML files of a folder, one row per vehicle, every column as text.
 
     A missing or empty element is NULL; a vehicle without an owner is dropped; an
-    element that is not in ``columns`` fails the job. Documents above
-    ``document_bytes`` are read in pieces by many tasks; CDATA sections in them
-    fail, so raise the bound for such a one.
+    element that is not in ``columns``, or stands beside the vehicles, fails the job, as
+    does a document that is broken or cut off. Documents are read in ranges of
+    ``range_bytes``, by as many tasks; the rows are the same for any number.
     """
     schema = automobiles_schema(columns)
-
-    def read() -> DataFrame:
-        small = file_size() <= document_bytes
-        texts = spark.read.text(path, wholetext=True, pathGlobFilter=files).where(small)
-        whole = (
-            spark.read.format("xml")
-            .options(**_XML, pathGlobFilter=files)
-            .schema(_open(schema))
-            .load(path)
-            .where(small & _all_end(texts))
-        )
-        pieces = spark.read.text(
-            path, lineSep=f"</{AUTOMOBILE_ROW}>", pathGlobFilter=files
-        ).where(file_size() > document_bytes)
-        return _owned(whole.union(_from_text(_vehicle_texts(pieces), schema)), schema)
-
-    return read_or_empty(spark, schema, read)
+    lexer = XmlLexer(AUTOMOBILE_ROOT, AUTOMOBILE_ROW, schema.names)
+    return read_or_empty(
+        spark,
+        schema,
+        lambda: automobiles_from_records(read_records(spark, path, lexer, files, range_bytes), columns),
+    )
 
 
 def automobiles_from_records(records: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Vehicles out of bundle records: the text of one element each."""
+    """Vehicles out of records: the text of one child of the root element each.
+
+    Records may say where they come from and which element they are (file, name).
+    """
     schema = automobiles_schema(columns)
-    return _owned(_from_text(records.select("record"), schema), schema)
+    where = F.concat("file", F.lit(": ")) if "file" in records.columns else F.lit("")
+    vehicle = F.from_xml("record", _open(schema), _XML).alias("v")
+    if "name" in records.columns:
+        stray = F.concat(where, F.lit("an element "), F.col("name"), F.lit(f" stands where only {AUTOMOBILE_ROW} may"))
+        records = records.where(F.when(F.col("name") == AUTOMOBILE_ROW, True).otherwise(F.raise_error(stray)))
+    vehicles = records.select(where.alias("_where"), vehicle).select("_where", "v.*")
+    others = F.concat("_where", F.lit("element outside the expected columns, with the text "), F.col(_OTHERS)[0])
+    # The check sits in the filter column, which every reading of the feed evaluates.
+    owner = F.when(F.col(_OTHERS).isNotNull(), fail(others)).otherwise(F.col(OWNER_COLUMN))
+    return vehicles.where(F.length(owner) > 0).select(*schema.names)
 
 
 def _open(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema, T.StructField(_OTHERS, T.ArrayType(T.StringType()))])
-
-
-def _matches(pattern: str) -> Column:
-    return F.col("value").rlike(pattern)
-
-
-def _all_end(texts: DataFrame) -> Column:
-    """True, or a failure if a document is cut off or holds elements beside the vehicles;
-    Spark's reader minds neither a cut between two vehicles nor other elements."""
-    bare = F.regexp_replace(F.regexp_replace("value", _MARKS, ""), _VEHICLE, "")
-    flaws = texts.agg(
-        F.when(F.count_if(~_matches(_END)) > 0, "a document has no end")
-        .when(F.count_if(~bare.rlike(_BARE)) > 0, "an element outside the expected columns stands beside the vehicles")
-    ).scalar()
-    return F.when(flaws.isNotNull(), F.raise_error(flaws)).otherwise(True)
-
-
-def _vehicle_texts(pieces: DataFrame) -> DataFrame:
-    """The ``record`` texts of pieces cut after closing tags; other shapes fail."""
-    text = F.col("value")
-    pieces = pieces.select(
-        F.when(text.contains("<!--"), F.regexp_replace(text, _COMMENT, ""))
-        .otherwise(text)
-        .alias("value"),
-        F.col("_metadata.file_path").alias("_file"),
-    )
-    unsound = (
-        pieces.groupBy("_file")
-        .agg(F.count_if(_matches(_CLOSING)).alias("_closed"))
-        .agg(F.count_if(F.col("_closed") != 1))
-        .scalar()
-    )
-    unclosed = F.raise_error(F.lit("a large document has no single closing"))
-    end = _matches(_CLOSING) | _matches(_BLANK)
-    odd = fail(F.concat(F.lit("not one vehicle: "), F.substring("value", 1, 200)))
-    vehicle = F.nullif(F.regexp_extract("value", _VEHICLE_PIECE, 1), F.lit(""))
-    return pieces.where(F.when(unsound > 0, unclosed).otherwise(~end)).select(
-        F.concat(F.coalesce(vehicle, odd), F.lit(f"</{AUTOMOBILE_ROW}>")).alias("record")
-    )
-
-
-def _from_text(records: DataFrame, schema: T.StructType) -> DataFrame:
-    vehicle = F.from_xml("record", _open(schema), _XML)
-    return records.select(vehicle.alias("v")).select("v.*")
-
-
-def _owned(vehicles: DataFrame, schema: T.StructType) -> DataFrame:
-    unknown = fail(
-        F.concat(F.lit("element outside the expected columns, with the text "), F.col(_OTHERS)[0])
-    )
-    # The check sits in the filter column, which every reading of the feed evaluates.
-    owner = F.when(F.col(_OTHERS).isNotNull(), unknown).otherwise(F.col(OWNER_COLUMN))
-    return vehicles.where(F.length(owner) > 0).select(*schema.names)

@@ -15,7 +15,7 @@ from typing import BinaryIO
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citewise.schemas import AUTOMOBILE_ROW, PEOPLE_COLUMNS, SPEEDING_ARRAY
+from citewise.schemas import AUTOMOBILE_ROOT, AUTOMOBILE_ROW, PEOPLE_COLUMNS, SPEEDING_ARRAY
 from citewise.sources.people import SEPARATOR
 from citewise.sources.records import (
     csv_records,
@@ -32,7 +32,7 @@ FEED_OF_EXTENSION = {"csv": "people", "json": "speeding", "xml": "automobiles"}
 _CUTTERS = {
     "people": partial(csv_records, separator=SEPARATOR, required=PEOPLE_COLUMNS),
     "speeding": partial(json_records, key=SPEEDING_ARRAY),
-    "automobiles": partial(xml_records, tag=AUTOMOBILE_ROW),
+    "automobiles": partial(xml_records, tag=AUTOMOBILE_ROW, root_tag=AUTOMOBILE_ROOT),
 }
 _RESOURCE_FORKS = "__MACOSX/"
 

@@ -9,9 +9,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citewise.sources.automobiles import FILES as AUTOMOBILE_FILES
 from citewise.sources.automobiles import automobiles_from_records, read_automobiles
 from citewise.sources.bundle import bundle_records, list_archives
 from citewise.sources.people import people_from_records, read_people
+from citewise.sources.speeding import FILES as SPEEDING_FILES
 from citewise.sources.speeding import read_speeding, speeding_from_records
 
 
@@ -31,12 +33,14 @@ def load_directories(
     speeding_dir: str,
     automobiles_dir: str,
     key_type: str = "bigint",
+    speeding_files: str = SPEEDING_FILES,
+    automobile_files: str = AUTOMOBILE_FILES,
 ) -> Feeds:
     """The feeds from three folders; a folder that is missing gives a typed empty frame."""
     return Feeds(
         read_people(spark, people_dir, key_type),
-        read_speeding(spark, speeding_dir, key_type),
-        read_automobiles(spark, automobiles_dir),
+        read_speeding(spark, speeding_dir, key_type, files=speeding_files),
+        read_automobiles(spark, automobiles_dir, files=automobile_files),
     )
 
 

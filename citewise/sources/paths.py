@@ -9,11 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# JSON and XML documents up to this size are read whole by Spark's own readers, one
-# task each. Larger ones are read record by record, in as many tasks as they have
-# blocks.
-DOCUMENT_BYTES = 64 * 1024 * 1024
-
 
 def empty_feed(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A frame with no rows and the feed's own columns."""
@@ -32,10 +27,5 @@ def read_or_empty(
         raise
 
 
-def file_size() -> Column:
-    """Size of the file a row comes from. Spark drops files by it before it opens them."""
-    return F.col("_metadata.file_size")
-
-
 def fail(message: Column | str) -> Column:
     return F.raise_error(message).cast("string")

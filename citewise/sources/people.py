@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citewise.schemas import PEOPLE_COLUMNS, people_schema, strings
+from citewise.sources.lexers import CsvLexer
 from citewise.sources.paths import empty_feed, read_or_empty
+from citewise.sources.ranges import read_records
 
 SEPARATOR = "|"
 
@@ -22,29 +24,33 @@ def read_people(
     schema: T.StructType | None = None,
     infer: bool = False,
     quoted_newlines: bool = False,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """All CSV files of a folder as one frame.
 
     Columns go by the names in the header, types by ``schema``; columns it does not
     name stay, as text. Every file's header is checked against the first one's, so
-    that a file with another column order fails and does not mix columns up.
-    ``infer=True`` takes the types from the data instead, at the cost of a pass.
-    ``quoted_newlines=True`` accepts line breaks in quotes; a file is then one task.
+    that a file with another column order fails and does not mix columns up. A line break
+    in quotes belongs to its value, a quote in quotes is doubled, an empty value is NULL.
+    Files are read in ranges of ``range_bytes``, by as many tasks; the rows are the same
+    for any number. ``infer=True`` takes the types from the data instead, with Spark's own
+    reader; with ``quoted_newlines=True`` a file is one task for it.
     """
     schema = schema or people_schema(key_type)
-    reader = {"sep": SEPARATOR, "header": True, "multiLine": quoted_newlines}
+    reader = {"sep": SEPARATOR, "header": True}
 
     def read() -> DataFrame:
         if infer:
-            return spark.read.csv(path, inferSchema=True, **reader)
+            return spark.read.csv(path, inferSchema=True, multiLine=quoted_newlines, **reader)
         try:
             names = spark.read.csv(path, **reader).columns
         except AnalysisException as error:
             if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder with no files
                 return empty_feed(spark, schema)
             raise
-        lines = spark.read.csv(path, schema=strings(names), enforceSchema=False, **reader)
-        return _typed(lines, schema)
+        _require(schema.names, names)
+        records = read_records(spark, path, CsvLexer(SEPARATOR, names), None, range_bytes)
+        return _typed(_parsed(records, names), schema)
 
     return read_or_empty(spark, schema, read)
 
@@ -59,13 +65,21 @@ def people_from_records(
     Files may order their columns as they like. ``more`` names columns to keep beside
     the declared ones, as text; a file without such a column gives NULL.
     """
-    person = F.from_json("record", strings([*PEOPLE_COLUMNS, *more]), {"mode": "FAILFAST"})
-    return _typed(records.select(person.alias("p")).select("p.*"), people_schema(key_type))
+    return _typed(_parsed(records, [*PEOPLE_COLUMNS, *more]), people_schema(key_type))
 
 
-def _typed(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    missing = [name for name in schema.names if name not in lines.columns]
+def _parsed(records: DataFrame, names: Sequence[str]) -> DataFrame:
+    person = F.from_json("record", strings(names), {"mode": "FAILFAST"})
+    return records.select(person.alias("p")).select("p.*")
+
+
+def _require(wanted: Sequence[str], header: Sequence[str]) -> None:
+    missing = [name for name in wanted if name not in header]
     if missing:
-        raise ValueError(f"columns {missing} are not in the header {lines.columns}")
+        raise ValueError(f"columns {missing} are not in the header {header}")
+
+
+def _typed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    _require(schema.names, lines.columns)
     declared = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
     return lines.select(*declared, *[c for c in lines.columns if c not in schema.names])

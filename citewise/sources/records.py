@@ -110,12 +110,15 @@ def json_records(stream: BinaryIO, key: str, chunk: int = 1 << 20) -> Iterator[s
         raise ValueError(f"a document lacks the array {key}")
 
 
-def xml_records(stream: BinaryIO, tag: str) -> Iterator[str]:
-    """The ``tag`` elements of a document, as text."""
+def xml_records(stream: BinaryIO, tag: str, root_tag: str | None = None) -> Iterator[str]:
+    """The ``tag`` elements of a document, as text; with ``root_tag`` the root is checked."""
     root, depth = None, 0
     for event, element in ElementTree.iterparse(stream, events=("start", "end")):
         if event == "start":
-            root = element if root is None else root
+            if root is None:
+                root = element
+                if root_tag not in (None, element.tag):
+                    raise ValueError(f"an element {element.tag} stands where only {root_tag} may")
             if depth == 1 and element.tag != tag:
                 raise ValueError(f"an element {element.tag} stands where only {tag} may")
             depth += 1

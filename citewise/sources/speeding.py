@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citewise.schemas import SPEEDING_ARRAY, SPEEDING_COLUMNS, speeding_schema, strings
-from citewise.sources.paths import DOCUMENT_BYTES, fail, file_size, read_or_empty
+from citewise.sources.lexers import JsonLexer
+from citewise.sources.paths import read_or_empty
+from citewise.sources.ranges import read_records
 
 FILES = "*.json"
 
-# How a large document is cut: at every closing brace. A piece is then the opening of
-# the document, or a separator, followed by one flat ticket that lacks its brace.
-_OPEN = rf'\s*+\{{\s*+"{SPEEDING_ARRAY}"\s*+:\s*+\['
-_LEAD = rf"(?:{_OPEN}\s*+(?:null\s*+,\s*+)*+|\s*+,\s*+(?:null\s*+,\s*+)*+)"
-_TICKET_PIECE = rf'(?s)\A{_LEAD}(\{{(?:[^{{}}"]++|"(?:[^"\\]++|\\.)*+")*+)\z'
-_OPENING = rf"(?s)\A{_OPEN}"
-_CLOSING = rf"(?s)\A(?:{_OPEN}\s*+(?:null)?+)?+(?:\s*+,\s*+null)*+\s*+\]\s*+\z"
-_BLANK = r"(?s)\A\s*+\z"
-
 _STRICT = {"mode": "FAILFAST"}
-_ENVELOPE = T.StructType([T.StructField(SPEEDING_ARRAY, T.ArrayType(strings(SPEEDING_COLUMNS)))])
 
 
 def read_speeding(
@@ -29,14 +21,14 @@ def read_speeding(
     path: str,
     key_type: str = "bigint",
     infer: bool = False,
-    document_bytes: int = DOCUMENT_BYTES,
+    range_bytes: int | None = None,
     files: str = FILES,
 ) -> DataFrame:
     """All JSON files of a folder, one row per ticket; null elements are dropped.
 
-    Broken JSON, and a document without the array, fail the job. Documents above
-    ``document_bytes`` are read in pieces by many tasks; they must hold flat tickets
-    and no other keys, which is checked. Raise the bound for one that is otherwise.
+    Broken JSON, and a document without the array, fail the job. Documents are read in
+    ranges of ``range_bytes``, by as many tasks; the rows are the same for any number.
+    ``infer=True`` takes the types from whole documents instead.
     """
     schema = speeding_schema(key_type)
 
@@ -46,44 +38,21 @@ def read_speeding(
             if SPEEDING_ARRAY not in inferred.columns:
                 raise ValueError(f"no document has the key {SPEEDING_ARRAY}")
             return _tickets(inferred)
-        # As text and not with the JSON reader: that one goes back to the file for every
-        # number or flag it is to give as text.
-        whole = spark.read.text(path, wholetext=True, pathGlobFilter=files).where(
-            file_size() <= document_bytes
-        )
-        pieces = spark.read.text(path, lineSep="}", pathGlobFilter=files).where(
-            file_size() > document_bytes
-        )
-        tickets = _tickets(_documents(whole)).union(_parsed(_ticket_texts(pieces)))
-        return _typed(tickets, schema)
+        records = read_records(spark, path, JsonLexer(SPEEDING_ARRAY), files, range_bytes)
+        return speeding_from_records(records, key_type)
 
     return read_or_empty(spark, schema, read)
 
 
 def speeding_from_records(records: DataFrame, key_type: str = "bigint") -> DataFrame:
-    """Tickets out of bundle records: the text of one array element each."""
-    present = records.where(F.col("record") != "null")
-    return _typed(_parsed(present), speeding_schema(key_type))
-
-
-def _parsed(records: DataFrame) -> DataFrame:
+    """Tickets out of records: the text of one array element each."""
+    text = F.col("record")
+    # The check sits in the filter, which every reading of the feed evaluates.
+    odd = F.raise_error(F.concat(F.lit("an element of the array is no object: "), F.substring(text, 1, 200)))
+    present = records.where(F.when(text == "null", False).when(text.startswith("{"), True).otherwise(odd))
     ticket = F.from_json("record", strings(SPEEDING_COLUMNS), _STRICT)
-    return records.select(ticket.alias("_ticket")).select("_ticket.*")
-
-
-def _documents(texts: DataFrame) -> DataFrame:
-    """One envelope per text.
-
-    Each is parsed as the one element of an array: Spark ignores what follows a value,
-    and a second document in the text would be lost in silence.
-    """
-    in_array = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    documents = texts.select(
-        F.from_json(in_array, T.ArrayType(_ENVELOPE), _STRICT).alias("_documents")
-    )
-    several = F.raise_error(F.lit("a file does not hold one document"))
-    one = F.when(F.size("_documents") == 1, F.col("_documents")[0]).otherwise(several)
-    return documents.select(one.alias("_document")).select("_document.*")
+    tickets = present.select(ticket.alias("_ticket")).select("_ticket.*")
+    return _typed(tickets, speeding_schema(key_type))
 
 
 def _tickets(documents: DataFrame) -> DataFrame:
@@ -93,35 +62,6 @@ def _tickets(documents: DataFrame) -> DataFrame:
     return documents.select(F.inline(F.filter(checked, lambda ticket: ticket.isNotNull())))
 
 
-def _matches(pattern: str) -> Column:
-    return F.col("value").rlike(pattern)
-
-
-def _ticket_texts(pieces: DataFrame) -> DataFrame:
-    """The ``record`` texts of pieces cut at closing braces.
-
-    A brace inside a text value, a nested object or a foreign key breaks the shape
-    of a piece and fails the job. So does a document that is cut off between two
-    tickets: each file must hold one opening and one closing.
-    """
-    unsound = (
-        pieces.groupBy(F.col("_metadata.file_path").alias("_file"))
-        .agg(
-            F.count_if(_matches(_OPENING)).alias("_opened"),
-            F.count_if(_matches(_CLOSING)).alias("_closed"),
-        )
-        .agg(F.count_if((F.col("_opened") != 1) | (F.col("_closed") != 1)))
-        .scalar()
-    )
-    unclosed = F.raise_error(F.lit("a large document has no single opening and closing"))
-    end = _matches(_CLOSING) | _matches(_BLANK)
-    odd = fail(F.concat(F.lit("not a flat ticket: "), F.substring("value", 1, 200)))
-    ticket = F.nullif(F.regexp_extract("value", _TICKET_PIECE, 1), F.lit(""))
-    return pieces.where(F.when(unsound > 0, unclosed).otherwise(~end)).select(
-        F.concat(F.coalesce(ticket, odd), F.lit("}")).alias("record")
-    )
-
-
 def _typed(tickets: DataFrame, schema: T.StructType) -> DataFrame:
     """From text to the declared types: true/false and 1/0 are both read as flags."""
     return tickets.select(

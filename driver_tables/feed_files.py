@@ -23,7 +23,7 @@ EXTENSIONS = {"people": "csv", "speeding": "json", "automobiles": "xml"}
 
 
 def write_people(people: DataFrame, path: str) -> str:
-    people.write.mode("overwrite").csv(path, sep="|", header=True)
+    people.write.mode("overwrite").csv(path, sep="|", header=True, escape='"')
     return path
 
 

@@ -258,6 +258,9 @@ def top_payers_with_ties(spark, folder):
 
 # ---- sources: each writes a table in a feed's format and reads it back
 
+# Cuts the files of the smallest tables, too.
+SMALL_RANGE = 1 << 14
+
 
 def _written(spark, name):
     return shared_folder(spark, name)
@@ -284,9 +287,9 @@ def src_json_envelope(spark, folder):
 
 @query
 def src_json_envelope_in_pieces(spark, folder):
-    """The same documents read as if each were too large for one task."""
+    """The same documents, each in many ranges."""
     path = feed_files.write_speeding(speeding(spark, folder), _written(spark, "speeding"))
-    return sources.read_speeding(spark, path, files="*.txt", document_bytes=0)
+    return sources.read_speeding(spark, path, files="*.txt", range_bytes=SMALL_RANGE)
 
 
 @query
@@ -298,7 +301,7 @@ def src_xml_rows(spark, folder):
 @query
 def src_xml_rows_in_pieces(spark, folder):
     path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
-    return sources.read_automobiles(spark, path, document_bytes=0)
+    return sources.read_automobiles(spark, path, range_bytes=SMALL_RANGE)
 
 
 @query
@@ -310,6 +313,41 @@ def src_xml_chosen_columns(spark, folder):
     return sources.read_automobiles(spark, path, columns=chosen)
 
 
+@query
+def src_xml_two_columns(spark, folder):
+    """Two columns of the documents, and none of the others."""
+    path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
+    return sources.read_automobiles(spark, path).select("vin", "year")
+
+
+@query
+def src_xml_count(spark, folder):
+    """How many vehicles there are, with no column read."""
+    path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
+    return sources.read_automobiles(spark, path).groupBy().agg(F.count(F.lit(1)).alias("vehicles"))
+
+
+@query
+def src_csv_quoted_newlines(spark, folder):
+    """Names with line breaks, quotes and separators, in many ranges."""
+    odd = F.concat(F.col("first_name"), F.lit('\n"'), F.col("last_name"), F.lit('"|\r\n'), F.col("profession"))
+    path = feed_files.write_people(people(spark, folder).withColumn("first_name", odd), _written(spark, "people"))
+    return sources.read_people(spark, path, range_bytes=SMALL_RANGE)
+
+
+@query
+def top_payers_from_folders(spark, folder):
+    """The question put to the files themselves, past the gate."""
+    base, tables = _written(spark, "feeds"), feeds(spark, folder)
+    for name, frame in tables._asdict().items():
+        getattr(feed_files, f"write_{name}")(frame, f"{base}/{name}")
+    loaded = sources.load_directories(
+        spark, f"{base}/people", f"{base}/speeding", f"{base}/automobiles", speeding_files="*.txt"
+    )
+    top = plans.top_payers(*sources.require_rows(loaded), fn.AS_CODED)
+    return top.select("person_id", "first_name", "total_ticketed_amount")
+
+
 def _in_many_files(frame):
     """At least one file per core, so that a feed is many files at any size."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
@@ -633,6 +671,12 @@ SQL = {
     "src_xml_rows": _AUTOMOBILES,
     "src_xml_rows_in_pieces": _AUTOMOBILES,
     "src_xml_chosen_columns": f"SELECT person_id, license_plate FROM ({_AUTOMOBILES})",
+    "src_xml_two_columns": f"SELECT vin, year FROM ({_AUTOMOBILES})",
+    "src_xml_count": "SELECT count(*) AS vehicles FROM orders",
+    "src_csv_quoted_newlines": f"""SELECT id, first_name || chr(10) || '"' || last_name || '"|' || chr(13) || chr(10) ||
+        profession AS first_name, last_name, profession FROM ({_PEOPLE})""",
+    "top_payers_from_folders": f"""SELECT person_id, c_name AS first_name, total_ticketed_amount
+        FROM ({_payers_sql(_AS_CODED)})""",
     "src_dir_union": _PEOPLE,
     "src_zip_bundle": _SPEEDING,
     "src_zip_bundle_people": _PEOPLE,

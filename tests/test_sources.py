@@ -4,7 +4,8 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from citewise.sources import read_automobiles, read_people, read_speeding
+from citewise.plans import top_payers
+from citewise.sources import load_bundles, read_automobiles, read_people, read_speeding
 from citewise.sources.load import (
     EmptyFeedError,
     Feeds,
@@ -12,7 +13,7 @@ from citewise.sources.load import (
     load_directories,
     require_rows,
 )
-from helpers import automobiles, people, rows, ticket, tickets, write
+from helpers import automobiles, people, rows, ticket, tickets, write, write_zip
 
 TICKET = {
     "id": "t1",
@@ -26,9 +27,40 @@ ROW = ("t1", 7, "2020-01-05 10:00:00", True, False, "AB-1")
 
 FAILURES = (PySparkException, Py4JJavaError)
 
-# Documents read whole, and the same ones read in pieces.
-WHOLE, PIECES = 1 << 30, 0
-both_ways = pytest.mark.parametrize("document_bytes", [WHOLE, PIECES])
+# Documents read in one range, in about seven, in very many, and out of a bundle.
+WAYS = ("whole", "seven", "many", "bundle")
+all_ways = pytest.mark.parametrize("way", WAYS)
+
+
+def range_bytes(way, *texts):
+    longest = max(len(text.encode()) for text in texts)
+    return {"whole": 1 << 30, "seven": max(longest // 7, 1), "many": 11}[way]
+
+
+def tickets_of(spark, folder, way, files, **options):
+    """The tickets in documents {name: text}, read in the given way."""
+    if way == "bundle":
+        return load_bundles(spark, write_zip(folder / "in", "a.zip", files), **options).speeding
+    for name, text in files.items():
+        write(folder / "s", name, text)
+    return read_speeding(spark, str(folder / "s"), range_bytes=range_bytes(way, *files.values()), **options)
+
+
+def vehicles_of(spark, folder, way, files):
+    if way == "bundle":
+        return load_bundles(spark, write_zip(folder / "in", "a.zip", files)).automobiles
+    for name, text in files.items():
+        write(folder / "x", name, text)
+    return read_automobiles(spark, str(folder / "x"), range_bytes=range_bytes(way, *files.values()))
+
+
+def people_of(spark, folder, way, files):
+    if way == "bundle":
+        return load_bundles(spark, write_zip(folder / "in", "a.zip", files)).people
+    for name, text in files.items():
+        (folder / "p").mkdir(exist_ok=True)
+        (folder / "p" / name).write_bytes(text.encode())
+    return read_people(spark, str(folder / "p"), range_bytes=range_bytes(way, *files.values()))
 
 
 def envelope(*elements, **more):
@@ -88,20 +120,58 @@ def test_people_inferred_and_with_quoted_newlines(spark, tmp_path):
     assert rows(read_people(spark, folder, quoted_newlines=True)) == [(1, "A\nB", "C", "D")]
 
 
+HEADER = "id|first_name|last_name|profession"
+
+
+@all_ways
+def test_people_values_are_the_same_in_any_number_of_ranges(spark, tmp_path, way):
+    lines = [
+        HEADER,
+        '1|"A\n""B"""|"c|d"|E',
+        "",
+        "2|||",
+        '3|"x\r\ny\n\n"|"|"|""',
+        '4|5" pipe|ü|long',
+        "5|short",
+        "6|F|L|P|more",
+        '"7"|"' + "word\n" * 40 + '"|L|P',
+    ]
+    files = {"a.csv": "\n".join(lines) + "\n", "b.csv": "\r\n".join([HEADER, '8|"q\r\nr"|s|t']), "c.csv": HEADER}
+    assert rows(people_of(spark, tmp_path, way, files)) == [
+        (1, 'A\n"B"', "c|d", "E"),
+        (2, None, None, None),
+        (3, "x\r\ny\n\n", "|", None),
+        (4, '5" pipe', "ü", "long"),
+        (5, "short", None, None),
+        (6, "F", "L", "P"),
+        (7, "word\n" * 40, "L", "P"),
+        (8, "q\r\nr", "s", "t"),
+    ]
+
+
+@all_ways
+@pytest.mark.parametrize("line", ['1|"A|B|C', '1|"A"x|B|C', '1|A|B|"C'])
+def test_people_with_broken_quotes_fail(spark, tmp_path, way, line):
+    files = {"a.csv": "\n".join([HEADER, "0|A|B|C", line, "2|A|B|C"]) + "\n"}
+    with pytest.raises(FAILURES, match="unexpected end of data|expected after"):
+        people_of(spark, tmp_path, way, files).collect()
+
+
 # ---- speeding
 
 
-@both_ways
-def test_tickets(spark, tmp_path, document_bytes):
+@all_ways
+def test_tickets(spark, tmp_path, way):
     other = {**TICKET, "id": "t2", "school_zone_ind": 1, "work_zone_ind": 0, "officer_id": "x"}
-    partial = {"id": "t3"}
-    folder = write(tmp_path / "s", "a.json", envelope(TICKET, None, other))
-    write(tmp_path / "s", "b.json", json.dumps({"speeding_tickets": [partial, None]}, indent=2))
-    write(tmp_path / "s", "c.json", envelope())
-    write(tmp_path / "s", "d.json", envelope(None))
-    write(tmp_path / "s", "e.json", envelope(None, TICKET))
-    write(tmp_path / "s", "notes.txt", "not a feed")
-    assert rows(read_speeding(spark, folder, document_bytes=document_bytes)) == [
+    files = {
+        "a.json": envelope(TICKET, None, other),
+        "b.json": json.dumps({"speeding_tickets": [{"id": "t3"}, None]}, indent=2),
+        "c.json": envelope(),
+        "d.json": envelope(None),
+        "e.json": "\ufeff" + envelope(None, TICKET),
+        "notes.txt": "not a feed",
+    }
+    assert rows(tickets_of(spark, tmp_path, way, files)) == [
         ROW,
         ROW,
         ("t2", None, ROW[2], True, False, ROW[5]),
@@ -109,60 +179,64 @@ def test_tickets(spark, tmp_path, document_bytes):
     ]
 
 
-@both_ways
-def test_escaped_text(spark, tmp_path, document_bytes):
-    plate = 'q"\\[],{ü\n'
-    folder = write(tmp_path / "s", "a.json", envelope({**TICKET, "license_plate": plate}, TICKET))
-    found = read_speeding(spark, folder, document_bytes=document_bytes)
-    # In pieces, an opening brace in a text is fine; only a closing one is not.
-    assert rows(found, "license_plate") == sorted([(plate,), ("AB-1",)], key=repr)
-
-
-def test_brace_in_text_and_nested_and_foreign_keys(spark, tmp_path):
-    odd = {**TICKET, "license_plate": "a}b", "extra": {"deep": [1, {"x": "}"}]}}
-    folder = write(tmp_path / "s", "a.json", envelope(odd, TICKET, meta={"n": 1}))
-    assert rows(read_speeding(spark, folder)) == [
-        ROW,
-        (*ROW[:5], "a}b"),
-    ]
-    with pytest.raises(FAILURES):
-        read_speeding(spark, folder, document_bytes=PIECES).collect()
+@all_ways
+def test_braces_in_texts_nested_and_foreign_keys(spark, tmp_path, way):
+    plates = ['q"\\[],{ü\n', "a}b", "}}}", '"}, {"', "\\"]
+    odd = [{**TICKET, "license_plate": p, "extra": {"deep": [1, {"x": "}"}], "y}": []}} for p in plates]
+    meta = {"n": [{"speeding_tickets": [TICKET]}, "}"], "}": {"id": "no"}}
+    text = json.dumps({"meta": meta, "speeding_tickets": [*odd, TICKET], "z}": [{"id": "no"}], "speeding": TICKET})
+    frame = tickets_of(spark, tmp_path, way, {"a.json": text, "b.json": envelope(odd[0], more=1)})
+    expected = sorted([(*ROW[:5], p) for p in [*plates, plates[0], "AB-1"]], key=repr)
+    assert rows(frame) == expected
+    assert frame.count() == len(expected)
+    assert rows(frame, "license_plate") == sorted([(r[5],) for r in expected], key=repr)
 
 
 BROKEN = {
+    "empty": "",
+    "blank": " \n",
     "no array": '{"other": []}',
+    "no array in a ticket": json.dumps({"other": [{"speeding_tickets": [TICKET]}]}),
     "null array": '{"speeding_tickets": null}',
+    "object for an array": json.dumps({"speeding_tickets": TICKET}),
+    "number for a ticket": '{"speeding_tickets": [{"id": "t"}, 5]}',
+    "text for a ticket": '{"speeding_tickets": [{"id": "t"}, "{}, {}"]}',
+    "array for a ticket": '{"speeding_tickets": [{"id": "t"}, [{}]]}',
     "cut in a ticket": envelope(TICKET, TICKET)[:-30],
     "cut between tickets": envelope(TICKET, TICKET)[:-2],
+    "cut in the last brace": envelope(TICKET, TICKET)[:-1],
     "no comma": envelope(TICKET, TICKET).replace("}, {", "} {"),
+    "two commas": envelope(TICKET, TICKET).replace("}, {", "}, , {"),
+    "no colon": envelope(TICKET, TICKET).replace('"officer_id":', '"officer_id"', 1),
+    "open text": envelope(TICKET, TICKET).replace('AB-1"', "AB-1", 1),
     "no json": "hello",
     "two documents": envelope(TICKET) + envelope(TICKET),
     "two documents and a comma": envelope(TICKET) + "," + envelope(TICKET),
     "more text": envelope(TICKET) + " x",
+    "wrong bracket": envelope(TICKET, TICKET)[:-2] + "}]",
 }
 
 
-@both_ways
+@all_ways
 @pytest.mark.parametrize("case", BROKEN)
-def test_broken_documents_fail(spark, tmp_path, document_bytes, case):
-    folder = write(tmp_path / "s", "a.json", BROKEN[case])
-    write(tmp_path / "s", "b.json", envelope(TICKET))
-    with pytest.raises(FAILURES):
-        read_speeding(spark, folder, document_bytes=document_bytes).collect()
+def test_broken_documents_fail(spark, tmp_path, way, case):
+    frame = tickets_of(spark, tmp_path, way, {"a.json": BROKEN[case], "b.json": envelope(TICKET)})
+    for action in (frame.count, frame.collect):
+        with pytest.raises(FAILURES):
+            action()
 
 
-@both_ways
-def test_documents_are_routed_by_size_and_large_ones_split(spark, tmp_path, set_conf, document_bytes):
+def test_large_documents_are_many_tasks(spark, tmp_path, set_conf):
     set_conf(spark__sql__files__maxPartitionBytes="4096")
     expected = []
     for n, size in enumerate((3, 400)):
         ids = [f"{n}-{i}" for i in range(size)]
         write(tmp_path / "s", f"{n}.json", envelope(*[{**TICKET, "id": i} for i in ids]))
         expected += ids
-    frame = read_speeding(spark, str(tmp_path / "s"), document_bytes=document_bytes or 2000)
+    frame = read_speeding(spark, str(tmp_path / "s"))
     assert rows(frame, "id") == sorted((i,) for i in expected)
-    tasks = frame.rdd.getNumPartitions()
-    assert tasks > 10 if document_bytes == PIECES else tasks <= 4
+    assert frame.rdd.getNumPartitions() > 10
+    assert read_speeding(spark, str(tmp_path / "s"), range_bytes=1 << 20).rdd.getNumPartitions() <= 2
 
 
 def test_speeding_inferred(spark, tmp_path):
@@ -175,41 +249,110 @@ def test_speeding_inferred(spark, tmp_path):
 # ---- automobiles
 
 
-@both_ways
-def test_every_vehicle_is_kept_and_nothing_carried_over(spark, tmp_path, document_bytes):
+@all_ways
+def test_every_vehicle_is_kept_and_nothing_carried_over(spark, tmp_path, way):
     first = vehicle(person_id="1", license_plate="P1", vin="V", color="red", year="2001")
     second = vehicle(person_id="2", license_plate="P&amp;2", year="")
-    folder = write(tmp_path / "x", "a.xml", xml(first, second))
-    write(tmp_path / "x", "b.xml", xml(vehicle(person_id="3", license_plate="007")))
-    write(tmp_path / "x", "c.xml", xml("<!-- <automobile> -->", first, "<automobile/>"))
-    write(tmp_path / "x", "d.xml", xml(vehicle(person_id="", license_plate="P4"), vehicle(vin="V")))
-    found = read_automobiles(spark, folder, document_bytes=document_bytes)
+    files = {
+        "a.xml": xml(first, second),
+        "b.xml": xml(vehicle(person_id="3", license_plate="007")),
+        "c.xml": xml("<!-- <automobile> -->", first, "<automobile/>"),
+        "d.xml": xml(vehicle(person_id="", license_plate="P4"), vehicle(vin="V")),
+    }
+    found = vehicles_of(spark, tmp_path, way, files)
     assert found.columns == ["person_id", "license_plate", "vin", "color", "year"]
-    assert rows(found) == [
+    expected = [
         ("1", "P1", "V", "red", "2001"),
         ("1", "P1", "V", "red", "2001"),
         ("2", "P&2", None, None, None),
         ("3", "007", None, None, None),
     ]
+    assert rows(found) == expected
+    assert found.count() == 4 and not found.isEmpty()
+    for i, name in enumerate(found.columns):
+        assert rows(found, name) == sorted([(r[i],) for r in expected], key=repr)
+
+
+@all_ways
+def test_comments_cdata_instructions_and_attributes(spark, tmp_path, way):
+    odd = [
+        "<automobile><!-- </automobile> <truck> > --><person_id>1</person_id><vin><![CDATA[<a> ]] > &amp;]]></vin></automobile>",
+        "<?note </automobile> > ?>",
+        "<!-- </automobiles> > -->",
+        "<automobile note=\"a > b\" x='>'><person_id k='>'>2</person_id>\n<vin/></automobile >",
+        "<automobile x='\">'/>",
+        "<automobile>\n <person_id>3</person_id> <vin>&#65;&gt;></vin ></automobile>",
+    ]
+    files = {"a.xml": xml(*odd) + "<!-- </automobile> -->\n<?note x?>\n", "b.xml": "<automobiles/>"}
+    files |= {"c.xml": "\ufeff<?xml version='1.0'?><automobiles></automobiles >\n", "d.xml": "<!-- > --><automobiles >\n</automobiles>"}
+    found = vehicles_of(spark, tmp_path, way, files)
+    assert rows(found, "person_id", "vin") == [("1", "<a> ]] > &amp;"), ("2", None), ("3", "A>>")]
 
 
-@both_ways
-def test_unknown_element_fails_even_if_only_counted(spark, tmp_path, document_bytes):
-    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1", wheels="4")))
-    frame = read_automobiles(spark, folder, document_bytes=document_bytes)
+@pytest.mark.parametrize("way", ["whole", "many"])
+def test_xml_in_its_declared_encoding(spark, tmp_path, way):
+    text = "<?xml version='1.0' encoding='iso-8859-1'?>" + xml(vehicle(person_id="1", color="grün"), vehicle(person_id="2", color="ß")).split("?>\n")[1]
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.xml").write_bytes(text.encode("iso-8859-1"))
+    found = read_automobiles(spark, str(tmp_path / "x"), range_bytes=range_bytes(way, text))
+    assert rows(found, "person_id", "color") == [("1", "grün"), ("2", "ß")]
+
+
+@all_ways
+def test_unknown_element_fails_even_if_only_counted(spark, tmp_path, way):
+    frame = vehicles_of(spark, tmp_path, way, {"a.xml": xml(vehicle(person_id="1", wheels="4"))})
     for action in (frame.collect, frame.count, frame.select("vin").collect):
         with pytest.raises(FAILURES, match="outside the expected columns"):
             action()
 
 
-@both_ways
+@all_ways
 @pytest.mark.parametrize("place", range(3))
-def test_element_beside_the_vehicles_fails(spark, tmp_path, document_bytes, place):
+def test_element_beside_the_vehicles_fails(spark, tmp_path, way, place):
     parts = [vehicle(person_id="1"), vehicle(person_id="3")]
     parts.insert(place, "<truck><person_id>2</person_id></truck>")
-    folder = write(tmp_path / "x", "a.xml", xml(*parts))
-    with pytest.raises(FAILURES):
-        read_automobiles(spark, folder, document_bytes=document_bytes).collect()
+    frame = vehicles_of(spark, tmp_path, way, {"a.xml": xml(*parts)})
+    for action in (frame.collect, frame.count):
+        with pytest.raises(FAILURES, match="truck"):
+            action()
+
+
+@all_ways
+@pytest.mark.parametrize("text", ["<truck><person_id>2</person_id></truck>", xml("<truck/>"), "<trucks>" + vehicle(person_id="1") + "</trucks>"])
+def test_files_without_vehicles_fail_too(spark, tmp_path, way, text):
+    frame = vehicles_of(spark, tmp_path, way, {"odd.xml": text, "b.xml": xml(vehicle(person_id="2"))})
+    with pytest.raises(FAILURES, match="truck"):
+        frame.count()
+    if way != "bundle":
+        with pytest.raises(FAILURES, match="odd.xml"):
+            frame.collect()
+
+
+BROKEN_XML = {
+    "empty": "",
+    "no xml": "hello",
+    "cut in a vehicle": xml(vehicle(person_id="1"))[:-20],
+    "cut in the last tag": xml(vehicle(person_id="1")).rstrip()[:-1],
+    "cut in a comment": xml(vehicle(person_id="1")) + "<!-- >",
+    "cut between vehicles": xml(vehicle(person_id="1")).replace("</automobiles>", ""),
+    "cut without vehicles": "<automobiles>",
+    "two documents": xml(vehicle(person_id="1")) + "<automobiles/>",
+    "text behind": xml(vehicle(person_id="1")) + "x",
+    "wrong end": xml(vehicle(person_id="1").replace("</automobile>", "</automobiles>")),
+    "wrong inner end": xml(vehicle(person_id="1").replace("</person_id>", "</vin>")),
+    "open value": xml(vehicle(person_id="1").replace("<automobile>", "<automobile x='>")),
+    "bare ampersand": xml(vehicle(person_id="1 & 2")),
+}
+
+
+@all_ways
+@pytest.mark.parametrize("case", BROKEN_XML)
+def test_broken_xml_fails(spark, tmp_path, way, case):
+    files = {"a.xml": BROKEN_XML[case], "b.xml": xml(vehicle(person_id="2"))}
+    frame = vehicles_of(spark, tmp_path, way, files)
+    for action in (frame.count, frame.collect):
+        with pytest.raises(FAILURES):
+            action()
 
 
 def test_chosen_columns(spark, tmp_path):
@@ -220,55 +363,25 @@ def test_chosen_columns(spark, tmp_path):
         read_automobiles(spark, folder, columns=["wheels"])
 
 
-@both_ways
-def test_xml_cut_in_a_vehicle_fails(spark, tmp_path, document_bytes):
-    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1"))[:-20])
-    with pytest.raises(FAILURES):
-        read_automobiles(spark, folder, document_bytes=document_bytes).collect()
-
-
-@both_ways
-def test_xml_cut_between_vehicles_fails(spark, tmp_path, document_bytes):
-    text = xml(vehicle(person_id="1")).replace("</automobiles>", "")
-    folder = write(tmp_path / "x", "a.xml", text)
-    write(tmp_path / "x", "b.xml", xml(vehicle(person_id="2")))
-    with pytest.raises(FAILURES, match="no end|no single closing"):
-        read_automobiles(spark, folder, document_bytes=document_bytes).collect()
-
-
-def test_ways_to_end_xml(spark, tmp_path):
-    tail = "<!-- </automobile> -->\n<?note x?>\n"
-    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1")) + tail)
-    write(tmp_path / "x", "b.xml", "<automobiles/>")
-    write(tmp_path / "x", "c.xml", "<automobiles></automobiles >\n")
-    assert rows(read_automobiles(spark, folder), "person_id") == [("1",)]
-
-
-def test_closing_tag_in_a_comment_is_read_whole_and_refused_in_pieces(spark, tmp_path):
-    comment = "<!-- </automobile> <automobile> -->"
-    folder = write(tmp_path / "x", "a.xml", xml(comment, vehicle(person_id="1")))
-    assert rows(read_automobiles(spark, folder), "person_id") == [("1",)]
-    with pytest.raises(FAILURES, match="not one vehicle"):
-        read_automobiles(spark, folder, document_bytes=PIECES).collect()
-
-
 def test_large_xml_is_split(spark, tmp_path, set_conf):
     set_conf(spark__sql__files__maxPartitionBytes="4096")
     ids = [str(n) for n in range(500)]
     folder = write(tmp_path / "x", "a.xml", xml(*[vehicle(person_id=i, vin=f"V{i}") for i in ids]))
-    frame = read_automobiles(spark, folder, document_bytes=PIECES)
+    frame = read_automobiles(spark, folder)
     assert frame.rdd.getNumPartitions() > 5
     assert rows(frame, "person_id") == sorted((i,) for i in ids)
 
 
-def test_cdata_is_read_whole_and_refused_in_pieces(spark, tmp_path):
-    folder = write(tmp_path / "x", "a.xml", xml(vehicle(person_id="1", vin="<![CDATA[<a>]]>")))
-    assert rows(read_automobiles(spark, folder), "vin") == [("<a>",)]
-    with pytest.raises(FAILURES):
-        read_automobiles(spark, folder, document_bytes=PIECES).collect()
+# ---- the load as a whole
 
 
-# ---- the load as a whole
+def test_questions_on_folders(spark, tmp_path):
+    write(tmp_path / "p", "a.csv", HEADER + "\n1|Ann|A|Police Officer\n2|Bob|B|Baker\n")
+    write(tmp_path / "s", "a.json", envelope(TICKET, {**TICKET, "id": "t2"}))
+    write(tmp_path / "x", "a.xml", xml(vehicle(person_id="2", license_plate="AB-1", vin="V", color="c", year="y")))
+    feeds = require_rows(load_directories(spark, *[str(tmp_path / name) for name in "psx"]))
+    top = top_payers(*feeds)
+    assert rows(top) == [(2, "Bob", "B", 180)]
 
 
 def test_missing_folders_give_typed_empty_frames_and_fail_the_gate(spark, tmp_path):
