@@ -22,7 +22,7 @@ import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import map_texts
+from .common import code_points, map_texts, sums
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -51,6 +51,10 @@ class Merges:
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece holds a space mark after another character")
         self.end = sp.eos_id()
+        #: Every id in decimal, with a space behind it.
+        digits = [f"{i} ".encode() for i in range(n)]
+        self.digits = np.frombuffer(b"".join(digits), np.uint8)
+        self.digit_starts = np.concatenate([[0], np.cumsum([len(d) for d in digits])])
         scores = [sp.get_score(i) for i in range(n)]
         ranks = {s: r for r, s in enumerate(sorted(set(scores), reverse=True))}
         table = {}
@@ -63,38 +67,53 @@ class Merges:
         self.rank = np.array([table[k][0] for k in self.keys.tolist()], np.int64)
         self.merged = np.array([table[k][1] for k in self.keys.tolist()], np.int64)
         self.table = table
+        #: The symbol of every code point.
+        self.symbols = np.arange(PLAIN, PLAIN + 0x110000, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
 
     def symbol(self, piece: str) -> int | None:
         return self.ids.get(piece, PLAIN + ord(piece) if len(piece) == 1 else None)
 
     def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NEVER if the pair doesn't merge) and position in the table of pairs."""
-        keys = (left << 21) | right
+        keys = (left.astype(np.int64) << 21) | right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where((self.keys[at] == keys) & (left >= 0) & (right >= 0), self.rank[at], NEVER), at
 
-    def side_by_side(self, segments: list[str]) -> list[list[int]]:
-        """Encodes segments of one length, one merge of each at a step."""
-        width = len(segments[0])
-        known: dict[str, int] = {c: self.symbol(c) for c in set("".join(segments))}
-        s = np.array([known[c] for c in "".join(segments)], np.int64).reshape(-1, width)
+    def side_by_side(self, characters: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes segments of one length, joined, one merge of each at a step; gives the
+        symbols of all, and how many of each."""
+        n = len(characters) // width
+        # A column more on the right, of symbols that never merge.
+        s = np.full((n, width + 1), -1, np.int32)
+        s[:, :width] = self.symbols[code_points(characters)].reshape(-1, width)
         r, at = self.look(s[:, :-1], s[:, 1:])
-        live = np.arange(len(s)) if width > 1 else np.arange(0)
-        places = np.arange(width)
+        live, places, out = np.arange(n), np.arange(width), np.full((n, width), -1, np.int32)
         while len(live):
-            j = r[live].argmin(1)
-            go = r[live, j] < NEVER
-            live, j = live[go], j[go]
+            j = r.argmin(1)
+            row = np.arange(len(live))
+            go = r[row, j] < NEVER
+            if not go.all():
+                out[live[~go]] = s[~go, :width]
+                live, j, s, r, at = live[go], j[go], s[go], r[go], at[go]
+                row = np.arange(len(live))
             if not len(live):
                 break
-            joined = self.merged[at[live, j]]
+            joined = self.merged[at[row, j]]
+            # The symbol on the right is gone; what follows moves up. Only the pairs on
+            # both sides of the new symbol change.
             move = places + (places > j[:, None])
-            rows = np.concatenate([s[live], np.full((len(live), 1), -1)], 1)
-            rows = np.take_along_axis(rows, move, 1)
-            rows[np.arange(len(live)), j] = joined
-            s[live] = rows
-            r[live], at[live] = self.look(rows[:, :-1], rows[:, 1:])
-        return [[x for x in row if x >= 0] for row in s.tolist()]
+            s[:, :width] = np.take_along_axis(s, move, 1)
+            s[row, j] = joined
+            move = np.minimum(move, width - 1)
+            r, at = np.take_along_axis(r, move, 1), np.take_along_axis(at, move, 1)
+            r[:, -1] = NEVER
+            for place in (np.maximum(j - 1, 0), j):
+                r[row, place], at[row, place] = self.look(s[row, place], s[row, place + 1])
+        filled = out >= 0
+        return out[filled], filled.sum(1)
 
     def by_heap(self, segment: str) -> list[int]:
         """Encodes one segment with a heap as the agenda, in n log n."""
@@ -122,21 +141,44 @@ class Merges:
             offer(a, after[a])
         return [x for x in s if x >= 0]
 
-    def encode_segments(self, segments: list[str]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(segments)
-        by_width: dict[int, list[int]] = {}
-        for i, segment in enumerate(segments):
-            if len(segment) <= SIDE_BY_SIDE:
-                by_width.setdefault(len(segment), []).append(i)
+    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all segments one after the other, and how many of each."""
+        widths = np.fromiter(map(len, segments), np.int64, len(segments))
+        parts, sizes = [], np.zeros(len(segments), np.int64)
+        for width in np.unique(widths).tolist():
+            places = np.flatnonzero(widths == width)
+            mine = [segments[i] for i in places.tolist()]
+            if width <= SIDE_BY_SIDE:
+                found, sizes[places] = self.side_by_side("".join(mine), width)
             else:
-                out[i] = self.by_heap(segment)
-        for places in by_width.values():
-            for i, found in zip(places, self.side_by_side([segments[i] for i in places])):
-                out[i] = found
-        for i, found in enumerate(out):
-            if found and max(found) >= PLAIN:
-                out[i] = list(chain.from_iterable([x] if x < PLAIN else [self.byte_ids[b] for b in chr(x - PLAIN).encode()] for x in found))
-        return out
+                lists = [self.by_heap(segment) for segment in mine]
+                sizes[places] = [len(x) for x in lists]
+                found = np.fromiter(chain.from_iterable(lists), np.int32)
+            parts.append((places, found))
+        starts = np.cumsum(sizes) - sizes
+        ids = np.empty(sizes.sum(), np.int32)
+        for places, found in parts:
+            own = sizes[places]
+            ids[np.arange(len(found)) + np.repeat(starts[places] - (np.cumsum(own) - own), own)] = found
+        return self.with_bytes(ids, sizes)
+
+    def with_bytes(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols without a piece become the ids of their bytes."""
+        plain = ids >= PLAIN
+        if not plain.any():
+            return ids, sizes
+        values, which = np.unique(ids[plain], return_inverse=True)
+        spelt = [[self.byte_ids[b] for b in chr(v - PLAIN).encode()] for v in values.tolist()]
+        lengths = np.ones(len(ids), np.int64)
+        lengths[plain] = np.fromiter(map(len, spelt), np.int64)[which]
+        begins = np.cumsum(lengths) - lengths
+        out = np.empty(lengths.sum(), np.int32)
+        out[begins[~plain]] = ids[~plain]
+        for v, bytes_ in enumerate(spelt):
+            own = begins[plain][which == v]
+            for k, b in enumerate(bytes_):
+                out[own + k] = b
+        return out, sums(lengths, sizes)
 
     def segments(self, text: str) -> list[str]:
         return SEGMENT.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -148,33 +190,73 @@ class Merges:
 
 
 class Encoder:
-    """Encodes texts, each distinct segment once; `check` compares with the library."""
+    """Encodes texts, each distinct segment once; `check` compares with the library.
+
+    The ids of all segments lie in one array, their decimal digits (each id followed by a
+    space) in another; a text's ids and digits are gathered from there.
+    """
 
     def __init__(self, model: str, check: bool = True, limit: int = 300_000):
         self.merges, self.check, self.limit = Merges(model), check, limit
-        self.ids: dict[str, list[int]] = {}
-        self.digits: dict[str, str] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.digits = np.zeros(0, np.int32), np.zeros(0, np.uint8)
+        self.id_starts, self.digit_starts = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def learn(self, segments: set[str]) -> None:
-        if len(self.ids) > self.limit:
-            self.ids, self.digits = {}, {}
-        fresh = sorted(segments.difference(self.ids))
-        found = self.merges.encode_segments(fresh)
+        if len(self.index) > self.limit:
+            self.forget()
+        fresh = sorted(segments.difference(self.index))
+        if not fresh:
+            return
+        ids, sizes = self.merges.encode_segments(fresh)
         if self.check:
-            # The library puts a space mark before a text, which a marked segment has.
-            marked = [i for i, s in enumerate(fresh) if s[0] == MARK]
-            for i, ids in zip(marked, self.merges.library.encode([fresh[i][1:] for i in marked], num_threads=1)):
-                if found[i] != ids and len(fresh[i]) > 1:
-                    raise ValueError(f"the library encodes {fresh[i]!r} as {ids}, not {found[i]}")
-        self.ids.update(zip(fresh, found))
-        self.digits.update((s, " ".join(map(str, ids))) for s, ids in zip(fresh, found))
-
-    def __call__(self, texts: list[str | None]) -> tuple[list[list[int]], list[str]]:
-        """Ids of each text, and the same in decimal; without the end id."""
+            self.compare(fresh, ids, sizes)
+        self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
+        self.ids = np.concatenate([self.ids, ids])
+        self.digits = np.concatenate([self.digits, _gathered(self.merges.digits, self.merges.digit_starts, ids)])
+        self.id_starts = _extended(self.id_starts, sizes)
+        self.digit_starts = _extended(self.digit_starts, sums(np.diff(self.merges.digit_starts)[ids], sizes))
+
+    def compare(self, segments: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Fails where the library encodes a segment otherwise."""
+        # It puts a space mark before a text, which a marked segment has.
+        marked = np.fromiter((len(s) > 1 and s[0] == MARK for s in segments), bool, len(segments))
+        places = np.flatnonzero(marked).tolist()
+        theirs = self.merges.library.encode([segments[i][1:] for i in places], num_threads=1)
+        same = np.array_equal(np.fromiter(map(len, theirs), np.int64, len(theirs)), sizes[marked])
+        if same and np.array_equal(np.fromiter(chain.from_iterable(theirs), np.int32), ids[np.repeat(marked, sizes)]):
+            return
+        starts = np.cumsum(sizes) - sizes
+        for i, other in zip(places, theirs):
+            own = ids[starts[i] : starts[i] + sizes[i]].tolist()
+            if own != other:
+                raise ValueError(f"the library encodes {segments[i]!r} as {other}, not {own}")
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[list[int]], list[bytes]]:
+        """Ids of each text, and the same in decimal, each followed by a space; without
+        the end id."""
         cut = [self.merges.segments(t or "") for t in texts]
         self.learn(set(chain.from_iterable(cut)))
-        ids = [list(chain.from_iterable(map(self.ids.__getitem__, c))) for c in cut]
-        return ids, [" ".join(map(self.digits.__getitem__, c)) for c in cut]
+        ids, digits = [], []
+        for segments in cut:
+            at = np.fromiter(map(self.index.__getitem__, segments), np.int64, len(segments))
+            ids.append(_gathered(self.ids, self.id_starts, at).tolist())
+            digits.append(_gathered(self.digits, self.digit_starts, at).tobytes())
+        return ids, digits
+
+
+def _extended(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretches of values that begin at starts[at], one after the other."""
+    sizes = starts[at + 1] - starts[at]
+    shift = starts[at] - (np.cumsum(sizes) - sizes)
+    return values[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False, check: bool = True) -> DataFrame:
@@ -183,14 +265,16 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def make():
         encoder = Encoder(model, check)
         end = encoder.merges.end
+        last = str(end).encode()
 
         def work(texts):
-            found, digits = encoder(texts)
-            full = [x + [end] for x in found]
+            full, digits = encoder(texts)
+            for found in full:
+                found.append(end)
             decoded = encoder.merges.library.decode(full, num_threads=1)
             out = {
                 "n_tokens": [len(x) for x in full],
-                "ids_sha256": [hashlib.sha256(f"{d} {end}".lstrip().encode()).hexdigest() for d in digits],
+                "ids_sha256": [hashlib.sha256(d + last).hexdigest() for d in digits],
                 "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded],
             }
             return out | ({"ids": full} if ids else {})
