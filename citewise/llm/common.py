@@ -39,6 +39,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def new_name(frame: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, in any case of letters."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder and read back: its lineage ends there."""
     folder = new_folder(frame.sparkSession, name)

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_folder, stored
+from .common import new_folder, new_name, stored
 
 # State on disk; without room set aside in advance, which many small stores would waste.
 STATE = {
@@ -133,6 +133,7 @@ def _regrouped(records, grouped, members, unequal) -> DataFrame:
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, a plain scan of files, that stay; its columns."""
     found = assign(docs, id_col, text_col, in_files=True)
-    dropped = found.where("not kept").select(F.col("at.file").alias("_file"), F.col("at.row").alias("_row"))
-    placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return placed.join(dropped, ["_file", "_row"], "left_anti").select(docs.columns)
+    file, row = new_name(docs, "file"), new_name(docs, "row")
+    dropped = found.where("not kept").select(F.col("at.file").alias(file), F.col("at.row").alias(row))
+    placed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    return placed.join(dropped, [file, row], "left_anti").select(docs.columns)

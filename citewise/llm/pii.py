@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import TokenTable, code_points, map_texts
+from .common import TokenTable, code_points, map_texts, new_name
 from .pretokens import LETTER, classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -351,6 +351,8 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """docs with every span of the text replaced by its kind, as in <EMAIL>; a NULL text
     stays NULL. Other columns stay as they are."""
 
+    clean = new_name(docs, "clean")
+
     def make():
         finder = Finder(field)
 
@@ -362,9 +364,9 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
                     parts += [text[at:a], f"<{kind.upper()}>"]
                     at = b
                 out.append(None if text is None else "".join([*parts, text[at:]]))
-            return {"_clean": out}
+            return {clean: out}
 
         return work
 
     rest = [c for c in docs.columns if c != text_col]
-    return map_texts(docs, rest, text_col, make, "_clean string").withColumnRenamed("_clean", text_col).select(docs.columns)
+    return map_texts(docs, rest, text_col, make, f"{clean} string").withColumnRenamed(clean, text_col).select(docs.columns)
