@@ -12,13 +12,16 @@ Signatures are cut into bands; documents that agree in a band share a bucket. Do
 with the same words are one node from the start. In each bucket all nodes are compared
 with one hub, on their whole texts; linked components join (label propagation over written
 tables). Buckets whose nodes are all in one component are finished. When another hub joins
-little more, the pairs of the other buckets that lie in different components and were not
-compared are compared, so no class is cut in two, and pairs inside a component are never
-listed.
+little more, the other buckets are cut into blocks of bounded size, and every two blocks
+meet in a task of their own: there all their texts are compared at once (the overlaps of
+all pairs are one product of two matrices), and only links that join components are given
+out, fewer than a block has nodes. So no class is cut in two, pairs never become rows,
+and a bucket of any size is many tasks.
 
-A candidate pair is compared only if its sizes allow the similarity, and if the lowest bits
-of its signatures differ in few enough places: a pair at the threshold fails that with a
-chance of 2 in 100,000, well below the chance that it shares no band (2 in 10,000).
+A member is compared with a hub only if their sizes allow the similarity, and if the lowest
+bits of their signatures differ in few enough places: a pair at the threshold fails that
+with a chance of 2 in 100,000, and then still meets in the blocks. It shares no band with a
+chance of 2 in 10,000.
 
 Words are lower-cased, without punctuation at their ends; a text of fewer than five words
 is one run. Defined results: one row for each distinct id. NULL and empty texts have no
@@ -33,6 +36,7 @@ import math
 from itertools import count
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +47,11 @@ WORDS, THRESHOLD, BANDS, ROWS = 5, 0.8, 28, 6
 #: Signature bits that may differ: (1 - threshold) / 2 of them are expected to, and this
 #: many standard deviations more are allowed.
 DEVIATIONS = 4.5
+#: What one side of a task of two blocks holds: word runs, a member counting as so many at
+#: least (so 512 members at most, on average).
+BLOCK_RUNS, LEAST_RUNS = 1 << 18, 512
+#: Columns of the matrices that are multiplied at a time.
+COLUMNS = 4096
 #: A further hub is tried while the last one left less than this share of the open pairs.
 #: Compared texts are held in a task up to so many word runs.
 HUB_SHARE, HELD_RUNS = 0.8, 4_000_000
@@ -235,6 +244,106 @@ def _pairs(one: str, two: str) -> list[Column]:
     return [F.least(f"{one}.node", f"{two}.node").alias("a"), F.greatest(f"{one}.node", f"{two}.node").alias("b")]
 
 
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of one shares with each of two."""
+    out = np.zeros((len(one), len(two)), np.float32)
+    mine, other = np.concatenate([*one, np.zeros(0, np.uint64)]), np.concatenate([*two, np.zeros(0, np.uint64)])
+    shared = np.intersect1d(mine, other)
+    if not len(shared):
+        return out
+
+    def placed(flat, sets):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, flat), len(shared) - 1)
+        hit = shared[at] == flat
+        at, owner = at[hit], owner[hit]
+        order = np.argsort(at, kind="stable")
+        return at[order], owner[order]
+
+    sides = [placed(mine, one), placed(other, two)]
+    for low in range(0, len(shared), COLUMNS):
+        width = min(COLUMNS, len(shared) - low)
+        dense = []
+        for (at, owner), sets in zip(sides, (one, two)):
+            a, b = np.searchsorted(at, [low, low + width])
+            cells = np.zeros((len(sets), width), np.float32)
+            cells[owner[a:b], at[a:b] - low] = 1
+            dense.append(cells)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def spanning(comps: list[bytes], linked: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Of the pairs (first[i], second[j]) with linked[i, j] those that join components."""
+    number = {c: i for i, c in enumerate(sorted(set(comps)))}
+    comp = np.array([number[c] for c in comps], np.int64)
+    i, j = np.nonzero(linked)
+    a, b = first[i], second[j]
+    apart = comp[a] != comp[b]
+    a, b = a[apart], b[apart]
+    low, high = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
+    # One pair for any two components, then only what closes no circle.
+    _, at = np.unique(low * len(number) + high, return_index=True)
+    root = list(range(len(number)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for k in at.tolist():
+        x, y = find(int(low[k])), find(int(high[k]))
+        if x != y:
+            root[x] = y
+            out.append((int(a[k]), int(b[k])))
+    return out
+
+
+def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join all components which similar members of one bucket hold."""
+
+    def make():
+        table = word_table()
+        return lambda some: {"elements": [np.sort(elements(r)).tobytes() for r in shingles(some, table)[0]]}
+
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
+    packed = stored(map_texts(wanted, ["node"], "text", make, "elements binary"), "elements")
+    placed = members.join(labels, "node").select("bucket", "node", "comp", F.greatest("size", F.lit(LEAST_RUNS)).alias("weight"))
+    per = placed.groupBy("bucket", "comp").agg(F.sum("weight").alias("held"))
+    small = F.when(F.col("held") <= BLOCK_RUNS, F.col("held"))
+    rest = per.groupBy("bucket").agg(F.sum(small).alias("rest"))
+    # A large component has blocks of its own; small ones share blocks.
+    ceiling = lambda c: F.ceil(F.col(c) / BLOCK_RUNS).cast("long")
+    own = F.when(F.col("held") > BLOCK_RUNS, F.col("comp"))
+    part = F.when(own.isNotNull(), F.pmod(F.xxhash64("node"), ceiling("held"))).otherwise(F.pmod(F.xxhash64("comp"), ceiling("rest")))
+    placed = placed.join(per, ["bucket", "comp"]).join(rest, "bucket")
+    placed = stored(placed.select("bucket", "node", "comp", F.concat_ws(":", F.hex(own), part).alias("block"), own.isNotNull().alias("one_comp")), "block-members")
+
+    blocks = placed.groupBy("bucket", "block").agg(F.first("one_comp").alias("one_comp"), F.min("comp").alias("least"))
+    left = blocks.select("bucket", F.col("block").alias("a"), F.when(F.col("one_comp"), F.col("least")).alias("a_comp"))
+    right = blocks.select("bucket", F.col("block").alias("b"), F.when(F.col("one_comp"), F.col("least")).alias("b_comp"))
+    meet = left.join(right, "bucket").where((F.col("a") <= F.col("b")) & ~F.coalesce(F.col("a_comp") == F.col("b_comp"), F.lit(False)))
+    meet = stored(meet.select("bucket", "a", "b"), "block-pairs")
+    sides = meet.select("bucket", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    together = sides.join(placed.select("bucket", "block", "node", "comp"), ["bucket", "block"]).join(packed, "node")
+
+    def compare(group: pa.Table) -> pa.Table:
+        nodes, comps = group["node"].to_pylist(), group["comp"].to_pylist()
+        sets = [np.frombuffer(e, np.uint64) for e in group["elements"].to_pylist()]
+        block = np.array(group["block"].to_pylist())
+        first = np.flatnonzero(block == group["a"][0].as_py())
+        second = np.flatnonzero(block == group["b"][0].as_py())
+        sizes = np.array([len(s) for s in sets], np.float64)
+        both = overlaps([sets[i] for i in first], [sets[i] for i in second]).astype(np.float64)
+        union = np.maximum(1, sizes[first][:, None] + sizes[second][None, :] - both)
+        links = [sorted((nodes[i], nodes[j])) for i, j in spanning(comps, both / union >= threshold, first, second)]
+        return pa.table({c: pa.array([link[k] for link in links], pa.binary()) for k, c in enumerate("ab")})
+
+    return together.groupBy("bucket", "a", "b").applyInArrow(compare, "a binary, b binary").distinct()
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, class_id (smallest id of the class), class_size, n_links (links found between
     different texts of the class) for each distinct id of docs."""
@@ -252,8 +361,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     texts = stored(_texts(docs, wanted), "texts")
 
     labels = active.select("node", F.col("node").alias("comp"))
-    links = tested = before = None
-    while True:
+    links = before = None
+    for turn in count():
         placed = members.join(labels, "node")
         per = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"))
         live = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("inner")).where("comps > 1")
@@ -265,17 +374,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         before = total.pairs
         # Members whose buckets are finished take no more part.
         members = stored(members.join(live.select("bucket"), "bucket", "left_semi"), "members")
-        placed = members.join(labels, "node").select("bucket", F.struct("node", "comp", "size", "bits").alias("one"))
         if last:
-            pairs = placed.join(placed.withColumnRenamed("one", "two"), "bucket").where(F.col("one.comp") < F.col("two.comp"))
+            new = stored(_block_links(members, labels, texts, threshold), "links")
         else:
-            turn = F.lit(0 if tested is None else before)
-            hub = placed.groupBy("bucket").agg(F.min_by("one", F.struct(F.xxhash64(turn, "one.node"), "one.node")).alias("two"))
+            placed = members.join(labels, "node").select("bucket", F.struct("node", "comp", "size", "bits").alias("one"))
+            hub = placed.groupBy("bucket").agg(F.min_by("one", F.struct(F.xxhash64(F.lit(turn), "one.node"), "one.node")).alias("two"))
             pairs = placed.join(hub, "bucket").where(F.col("one.comp") != F.col("two.comp"))
-        pairs = pairs.where(_likely("one", "two", threshold, bands * rows)).select(*_pairs("one", "two")).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        new = stored(linked(pairs, texts, threshold), "links")
+            pairs = pairs.where(_likely("one", "two", threshold, bands * rows)).select(*_pairs("one", "two")).distinct()
+            new = stored(linked(stored(pairs, "pairs"), texts, threshold), "links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
             labels = _joined(labels, new)
