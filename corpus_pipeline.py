@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citewise.llm import exact_dedup, near_dedup, packing, pii, queries, toxicity
-from citewise.llm.common import new_folder
+from citewise.llm.common import new_folder, new_name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones, doesn't reject."""
     labels = queries.table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model, docs.columns).where("score < 0.5").select(docs.columns)
+    score = new_name(docs, "score")
+    return toxicity.score(docs, model, docs.columns, name=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
