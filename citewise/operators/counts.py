@@ -72,6 +72,49 @@ def months_and_officers(
     )
 
 
+def report_counts(
+    tickets: DataFrame,
+    officer: str = "officer_id",
+    time: str = "ticket_time",
+    ticket: str = "id",
+) -> DataFrame:
+    """What the questions about officers and months need, from one scan: tickets by
+    officer, and by month and month key together (``kind`` tells them apart).
+
+    As many rows as officers and months: small enough to be written and read again.
+    """
+    keyed = tickets.select(
+        F.col(officer).alias("officer_id"),
+        month_of(F.col(time)).alias("month"),
+        month_key(F.col(time)).alias("yyyymm"),
+        F.col(ticket).alias("_ticket"),
+    )
+    officers, months, keys = F.col("officer_id"), F.col("month"), F.col("yyyymm")
+    return (
+        keyed.groupingSets([[officers], [months, keys]], officers, months, keys)
+        .agg(
+            F.when(F.grouping("officer_id") == 0, "officer").otherwise("month").alias("kind"),
+            F.count("_ticket").alias("ticket_count"),
+        )
+        .select("kind", "officer_id", "month", "yyyymm", "ticket_count")
+    )
+
+
+def officers_in(counts: DataFrame) -> DataFrame:
+    """``tickets_per_officer``, out of ``report_counts``."""
+    return counts.where("kind = 'officer'").select("officer_id", "ticket_count")
+
+
+def months_in(counts: DataFrame) -> DataFrame:
+    """``month_counts``, out of ``report_counts``."""
+    return counts.where("kind = 'month'").groupBy("month").agg(F.sum("ticket_count").alias("ticket_count"))
+
+
+def month_keys_in(counts: DataFrame) -> DataFrame:
+    """``tickets_per_month_key``, out of ``report_counts``."""
+    return counts.where("kind = 'month'").groupBy("yyyymm").agg(F.sum("ticket_count").alias("ticket_count"))
+
+
 def max_count(counts: DataFrame, measure: str = "ticket_count") -> DataFrame:
     return counts.agg(F.max(measure).alias(f"max_{measure}"))
 

@@ -7,11 +7,12 @@ from citewise.plans.questions import (
     trend_tables,
 )
 from citewise.plans.report import report_lines
-from citewise.plans.run import run_report
+from citewise.plans.run import run_bundles, run_report
 
 __all__ = [
     "officers_of",
     "report_lines",
+    "run_bundles",
     "run_report",
     "top_months",
     "top_officers",

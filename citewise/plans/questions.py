@@ -16,7 +16,7 @@ from citewise.operators.counts import (
     with_max,
     year_counts,
 )
-from citewise.operators.ownership import owner_totals
+from citewise.operators.ownership import Hot, owner_totals
 from citewise.operators.topk import top_k
 from citewise.schemas import OFFICER_PROFESSION
 
@@ -52,8 +52,20 @@ def top_officers(
     The maximum is taken over all officer ids that tickets name. If it belongs to
     somebody who is no officer, the answer is empty.
     """
-    top = with_max(tickets_per_officer(tickets, officer, ticket))
-    return _named_officers(top, people, is_officer, names, officer, person)
+    counts = tickets_per_officer(tickets, officer, ticket)
+    return top_officers_of(counts, people, is_officer, names, officer, person)
+
+
+def top_officers_of(
+    counts: DataFrame,
+    people: DataFrame,
+    is_officer: Column | None = None,
+    names: Sequence[str] = NAMES,
+    officer: str = "officer_id",
+    person: str = "id",
+) -> DataFrame:
+    """The same, out of tickets that are counted already."""
+    return _named_officers(with_max(counts), people, is_officer, names, officer, person)
 
 
 def top_officers_strict(
@@ -110,6 +122,7 @@ def top_payers(
     plate: str = "license_plate",
     owner: str = "person_id",
     person: str = "id",
+    hot: Hot = Hot(),
 ) -> DataFrame:
     """The ``k`` people who owe most; of equal amounts, the lower id first.
 
@@ -122,7 +135,7 @@ def top_payers(
         F.col("work_zone_ind") if work is None else work,
         schedule,
     )
-    totals = owner_totals(automobiles, tickets, people, fee, ticket_plate, plate, owner, person)
+    totals = owner_totals(automobiles, tickets, people, fee, ticket_plate, plate, owner, person, hot)
     top = top_k(totals, "total_ticketed_amount", k, "person_id")
     if k <= BROADCAST_ROWS:
         top = F.broadcast(top)

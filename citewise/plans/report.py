@@ -15,10 +15,19 @@ from citewise.functions.labels import (
     month_label,
     tickets_line,
 )
-from citewise.operators.counts import years_from_months
+from citewise.operators.counts import (
+    month_keys_in,
+    months_in,
+    officers_in,
+    report_counts,
+    years_from_months,
+)
+from citewise.operators.ownership import Hot
+from citewise.operators.topk import top_k
 from citewise.operators.trends import change_since_previous
-from citewise.plans.questions import Trends, top_months, top_officers, top_payers, trend_tables
+from citewise.plans.questions import Trends, top_officers_of, top_payers
 from citewise.sources.load import Feeds
+from citewise.workspace import shared_folder
 
 # The wording of the report.
 OFFICERS_LINE = "Officer(s) %s distributed the most speeding tickets: %d"
@@ -76,21 +85,37 @@ def trend_lines(trends: Trends) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def report_lines(feeds: Feeds, schedule: FeeSchedule = AS_CODED) -> DataFrame:
-    """(question, line_no, line) for all questions over the same three feeds."""
-    trends = trend_tables(feeds.speeding)
-    trends = Trends(trends.months, years_from_months(trends.months))
+def report_lines(
+    feeds: Feeds, schedule: FeeSchedule = AS_CODED, counts: DataFrame | None = None, hot: Hot = Hot()
+) -> DataFrame:
+    """(question, line_no, line) for all questions over the same three feeds.
+
+    The tickets are scanned twice, for the counts and for the fees. ``counts`` is what
+    ``report_counts`` gives, if it has been written already; otherwise that small table is
+    written to the shared folder first, since Spark would scan once for each question.
+    """
+    if counts is None:
+        counts = written_counts(feeds.speeding)
+    months = months_in(counts)
     return reduce(
         DataFrame.union,
         [
-            officer_lines(top_officers(feeds.people, feeds.speeding)),
-            month_lines(top_months(feeds.speeding)),
-            payer_lines(top_payers(feeds.people, feeds.speeding, feeds.automobiles, schedule)),
-            trend_lines(trends),
+            officer_lines(top_officers_of(officers_in(counts), feeds.people)),
+            month_lines(top_k(month_keys_in(counts), "ticket_count", 3, "yyyymm")),
+            payer_lines(top_payers(feeds.people, feeds.speeding, feeds.automobiles, schedule, hot=hot)),
+            trend_lines(Trends(months, years_from_months(months))),
         ],
     )
 
 
+def written_counts(tickets: DataFrame) -> DataFrame:
+    """``report_counts``, written below the shared folder and read back."""
+    spark, counts = tickets.sparkSession, report_counts(tickets)
+    folder = shared_folder(spark, "report-counts")
+    counts.write.parquet(folder)
+    return spark.read.schema(counts.schema).parquet(folder)
+
+
 def _position(top: DataFrame, *order: Column) -> DataFrame:
     """Numbers the rows of a top-k result."""
     return top.withColumn("_n", F.row_number().over(Window.orderBy(*order)))

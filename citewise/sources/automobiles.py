@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from citewise.schemas import AUTOMOBILE_ROOT, AUTOMOBILE_ROW, OWNER_COLUMN, automobiles_schema
 from citewise.sources.lexers import XmlLexer
 from citewise.sources.paths import fail, read_or_empty
-from citewise.sources.ranges import read_records
+from citewise.sources.ranges import RECORDS, read_records
 
 FILES = "*.xml"
 
@@ -34,13 +34,20 @@ def read_automobiles(
     does a document that is broken or cut off. Documents are read in ranges of
     ``range_bytes``, by as many tasks; the rows are the same for any number.
     """
-    schema = automobiles_schema(columns)
-    lexer = XmlLexer(AUTOMOBILE_ROOT, AUTOMOBILE_ROW, schema.names)
-    return read_or_empty(
-        spark,
-        schema,
-        lambda: automobiles_from_records(read_records(spark, path, lexer, files, range_bytes), columns),
-    )
+    records = automobile_records(spark, path, files, columns, range_bytes)
+    return automobiles_from_records(records, columns)
+
+
+def automobile_records(
+    spark: SparkSession,
+    path: str,
+    files: str = FILES,
+    columns: Sequence[str] | None = None,
+    range_bytes: int | None = None,
+) -> DataFrame:
+    """(file, name, record): the children of each document's root, whatever their names."""
+    lexer = XmlLexer(AUTOMOBILE_ROOT, AUTOMOBILE_ROW, automobiles_schema(columns).names)
+    return read_or_empty(spark, RECORDS, lambda: read_records(spark, path, lexer, files, range_bytes))
 
 
 def automobiles_from_records(records: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

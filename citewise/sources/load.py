@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from citewise.sources.automobiles import FILES as AUTOMOBILE_FILES
 from citewise.sources.automobiles import automobiles_from_records, read_automobiles
-from citewise.sources.bundle import bundle_records, list_archives
+from citewise.sources.bundle import (
+    INFLATED,
+    archive_bytes,
+    bundle_members,
+    list_archives,
+    member_records,
+    tasks_for,
+)
 from citewise.sources.people import people_from_records, read_people
 from citewise.sources.speeding import FILES as SPEEDING_FILES
 from citewise.sources.speeding import read_speeding, speeding_from_records
@@ -50,14 +57,25 @@ def feeds_from_archives(
     tasks: int | None = None,
     more_people: Sequence[str] = (),
 ) -> Feeds:
-    """The feeds out of a frame of archive paths, batch or streaming.
+    """The feeds out of a frame of archive paths.
 
     ``more_people`` names columns of the people files to keep beside the declared ones.
     """
+    return feeds_from_members(bundle_members(archives), key_type, tasks, more_people)
+
+
+def feeds_from_members(
+    members: DataFrame,
+    key_type: str = "bigint",
+    tasks: int | None = None,
+    more_people: Sequence[str] = (),
+) -> Feeds:
+    """The same out of a frame of members, as ``bundle_members`` lists them."""
+    records = {feed: member_records(members, feed, tasks) for feed in Feeds._fields}
     return Feeds(
-        people_from_records(bundle_records(archives, "people", tasks), key_type, more_people),
-        speeding_from_records(bundle_records(archives, "speeding", tasks), key_type),
-        automobiles_from_records(bundle_records(archives, "automobiles", tasks)),
+        people_from_records(records["people"], key_type, more_people),
+        speeding_from_records(records["speeding"], key_type),
+        automobiles_from_records(records["automobiles"]),
     )
 
 
@@ -69,17 +87,29 @@ def load_bundles(
     more_people: Sequence[str] = (),
 ) -> Feeds:
     """The feeds from all zip bundles of a folder."""
+    tasks = tasks or tasks_for(spark, INFLATED * archive_bytes(spark, path))
     return feeds_from_archives(list_archives(spark, path), key_type, tasks, more_people)
 
 
+# Fixed value: the message of the gate.
+EMPTY = "%s DataFrame is Empty!"
+
+
 def require_rows(feeds: Feeds) -> Feeds:
     """The feeds, unless one is empty. Looks at one row of each."""
     for name, frame in feeds._asdict().items():
         if frame.isEmpty():
-            raise EmptyFeedError(f"{name.capitalize()} DataFrame is Empty!")
+            raise EmptyFeedError(EMPTY % name.capitalize())
     return feeds
 
 
+def require_counted(rows: dict[str, int]) -> None:
+    """The same gate for feeds whose rows were counted while they were written."""
+    for name in Feeds._fields:
+        if not rows[name]:
+            raise EmptyFeedError(EMPTY % name.capitalize())
+
+
 def emptiness(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, is_empty) per table, as data. Looks at one row of each."""
     flags = [

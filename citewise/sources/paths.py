@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def empty_feed(spark: SparkSession, schema: T.StructType) -> DataFrame:
+def empty_feed(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     """A frame with no rows and the feed's own columns."""
     return spark.createDataFrame([], schema)
 
 
 def read_or_empty(
-    spark: SparkSession, schema: T.StructType, read: Callable[[], DataFrame]
+    spark: SparkSession, schema: T.StructType | str, read: Callable[[], DataFrame]
 ) -> DataFrame:
     """``read()``, or a typed frame with no rows where the folder does not exist."""
     try:

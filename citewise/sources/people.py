@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from citewise.schemas import PEOPLE_COLUMNS, people_schema, strings
 from citewise.sources.lexers import CsvLexer
 from citewise.sources.paths import empty_feed, read_or_empty
-from citewise.sources.ranges import read_records
+from citewise.sources.ranges import RECORDS, read_records
 
 SEPARATOR = "|"
 
@@ -39,20 +39,34 @@ def read_people(
     schema = schema or people_schema(key_type)
     reader = {"sep": SEPARATOR, "header": True}
 
-    def read() -> DataFrame:
-        if infer:
-            return spark.read.csv(path, inferSchema=True, multiLine=quoted_newlines, **reader)
-        try:
-            names = spark.read.csv(path, **reader).columns
-        except AnalysisException as error:
-            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder with no files
-                return empty_feed(spark, schema)
-            raise
-        _require(schema.names, names)
-        records = read_records(spark, path, CsvLexer(SEPARATOR, names), None, range_bytes)
-        return _typed(_parsed(records, names), schema)
-
-    return read_or_empty(spark, schema, read)
+    if infer:
+        options = {"sep": SEPARATOR, "header": True, "multiLine": quoted_newlines}
+        return read_or_empty(spark, schema, lambda: spark.read.csv(path, inferSchema=True, **options))
+    names = header_of(spark, path)
+    if names is None:
+        return empty_feed(spark, schema)
+    _require(schema.names, names)
+    return _typed(_parsed(people_records(spark, path, names, range_bytes), names), schema)
+
+
+def header_of(spark: SparkSession, path: str) -> list[str] | None:
+    """The names in the first file's header; None without a folder or a file in it."""
+    try:
+        return spark.read.csv(path, sep=SEPARATOR, header=True).columns
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def people_records(
+    spark: SparkSession, path: str, names: Sequence[str] | None = None, range_bytes: int | None = None
+) -> DataFrame:
+    """(file, name, record): the lines of each file as objects by the header's names."""
+    names = header_of(spark, path) if names is None else names
+    if names is None:
+        return empty_feed(spark, RECORDS)
+    return read_records(spark, path, CsvLexer(SEPARATOR, names), None, range_bytes)
 
 
 def people_from_records(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from citewise.schemas import SPEEDING_ARRAY, SPEEDING_COLUMNS, speeding_schema, strings
 from citewise.sources.lexers import JsonLexer
 from citewise.sources.paths import read_or_empty
-from citewise.sources.ranges import read_records
+from citewise.sources.ranges import RECORDS, read_records
 
 FILES = "*.json"
 
@@ -30,18 +30,24 @@ def read_speeding(
     ranges of ``range_bytes``, by as many tasks; the rows are the same for any number.
     ``infer=True`` takes the types from whole documents instead.
     """
-    schema = speeding_schema(key_type)
-
-    def read() -> DataFrame:
-        if infer:
-            inferred = spark.read.json(path, multiLine=True, mode="FAILFAST", pathGlobFilter=files)
-            if SPEEDING_ARRAY not in inferred.columns:
-                raise ValueError(f"no document has the key {SPEEDING_ARRAY}")
-            return _tickets(inferred)
-        records = read_records(spark, path, JsonLexer(SPEEDING_ARRAY), files, range_bytes)
-        return speeding_from_records(records, key_type)
-
-    return read_or_empty(spark, schema, read)
+
+    def inferred() -> DataFrame:
+        documents = spark.read.json(path, multiLine=True, mode="FAILFAST", pathGlobFilter=files)
+        if SPEEDING_ARRAY not in documents.columns:
+            raise ValueError(f"no document has the key {SPEEDING_ARRAY}")
+        return _tickets(documents)
+
+    if infer:
+        return read_or_empty(spark, speeding_schema(key_type), inferred)
+    return speeding_from_records(speeding_records(spark, path, files, range_bytes), key_type)
+
+
+def speeding_records(
+    spark: SparkSession, path: str, files: str = FILES, range_bytes: int | None = None
+) -> DataFrame:
+    """(file, name, record): the elements of each document's array."""
+    lexer = JsonLexer(SPEEDING_ARRAY)
+    return read_or_empty(spark, RECORDS, lambda: read_records(spark, path, lexer, files, range_bytes))
 
 
 def speeding_from_records(records: DataFrame, key_type: str = "bigint") -> DataFrame:

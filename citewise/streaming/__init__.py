@@ -1,4 +1,4 @@
-from citewise.streaming.arrivals import stage_arrivals
-from citewise.streaming.months import month_counts_stream, write_latest
+from citewise.streaming.arrivals import RejectedMemberError, stage_arrivals
+from citewise.streaming.months import month_counts_stream, read_latest, write_latest
 
-__all__ = ["month_counts_stream", "stage_arrivals", "write_latest"]
+__all__ = ["RejectedMemberError", "month_counts_stream", "read_latest", "stage_arrivals", "write_latest"]

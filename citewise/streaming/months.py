@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citewise.functions.periods import month_of
+from citewise.sinks.versions import forget_versions, publish, read_published
+
+COUNTS = "month_counts"
 
 
 def month_counts_stream(
@@ -30,10 +33,15 @@ def month_counts_stream(
 
 
 def write_latest(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the newest complete table at ``path``; handles what is there, then ends."""
+    """Keeps the newest complete table at ``path``; handles what is there, then ends.
+
+    ``read_latest`` gives the table as it was last committed, also while it is replaced.
+    A batch that is repeated writes nothing. The table before stays for its readers.
+    """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def replace(batch: DataFrame, number: int) -> None:
+        publish(batch.sparkSession, {COUNTS: batch}, path, f"batch-{number}")
+        forget_versions(batch.sparkSession, path)
 
     return (
         counts.writeStream.outputMode("complete")
@@ -42,3 +50,7 @@ def write_latest(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    return read_published(spark, path, COUNTS)

@@ -19,7 +19,7 @@ from citewise.schemas import AUTOMOBILE_ROOT, AUTOMOBILE_ROW, SPEEDING_ARRAY
 from citewise.sources.records import locate, open_path
 
 # Spark names text files *.txt; in a bundle each feed has its own extension.
-EXTENSIONS = {"people": "csv", "speeding": "json", "automobiles": "xml"}
+EXTENSIONS = {"people": "csv", "speeding": "json", "automobiles": "xml", "notes": "txt"}
 
 
 def write_people(people: DataFrame, path: str) -> str:
@@ -57,6 +57,12 @@ def write_speeding(speeding: DataFrame, path: str) -> str:
     return path
 
 
+def write_notes(notes: DataFrame, path: str) -> str:
+    """Files that no feed takes: eight, by the remainder of the person's id."""
+    notes.repartitionById(8, F.pmod("id", F.lit(8)).cast("int")).select("first_name").write.mode("overwrite").text(path)
+    return path
+
+
 def write_bundles(spark: SparkSession, folder: str) -> str:
     """Packs the feed files below ``folder`` into zip archives next to them.
 

@@ -177,12 +177,18 @@ def _priced(spark, folder, schedule):
     return _lineitem(spark, folder).select("l_orderkey", "l_linenumber", cost)
 
 
+def _hot(spark, folder):
+    tables = table(spark, folder, "orders"), _lineitem(spark, folder), table(spark, folder, "customer")
+    return op.estimate_hot(*tables, **OWNERSHIP)
+
+
 def _totals(spark, folder, schedule):
     return op.owner_totals(
         table(spark, folder, "orders"),
         _lineitem(spark, folder),
         table(spark, folder, "customer"),
         fn.ticket_cost(school(), work(), schedule),
+        hot=_hot(spark, folder),
         **OWNERSHIP,
     )
 
@@ -196,6 +202,7 @@ def _payers(spark, folder, schedule):
         school=school(),
         work=work(),
         names=("c_name",),
+        hot=_hot(spark, folder),
         **OWNERSHIP,
     )
 
@@ -225,6 +232,7 @@ def ticket_vehicle_owner(spark, folder):
         _lineitem(spark, folder),
         table(spark, folder, "customer"),
         fn.ticket_cost(school(), work(), fn.AS_CODED),
+        hot=_hot(spark, folder),
         **OWNERSHIP,
     )
 
@@ -416,6 +424,37 @@ def src_zip_bundle_automobiles(spark, folder):
     return sources.load_bundles(spark, _bundles(spark, folder, "automobiles")).automobiles
 
 
+def _with_notes(spark, folder):
+    """Bundles of people files and of files that no feed takes."""
+    base = _written(spark, "feeds")
+    feed_files.write_people(_in_many_files(people(spark, folder)), f"{base}/people")
+    feed_files.write_notes(people(spark, folder), f"{base}/notes")
+    return feed_files.write_bundles(spark, base)
+
+
+def _refused(members):
+    part = F.regexp_extract("member", r"part-(\d+)", 1).alias("part")
+    return members.select(part, "extension", "member_bytes")
+
+
+@query
+def src_zip_rejected(spark, folder):
+    """The members that no feed takes."""
+    return _refused(sources.rejected_members(sources.list_archives(spark, _with_notes(spark, folder))))
+
+
+@query
+def src_name_census(spark, folder):
+    """Tags, keys and header names of all three feeds, counted."""
+    base, tables = _written(spark, "feeds"), feeds(spark, folder)
+    for name, frame in tables._asdict().items():
+        getattr(feed_files, f"write_{name}")(frame, f"{base}/{name}")
+    census = sources.census_of_directories(
+        spark, f"{base}/people", f"{base}/speeding", f"{base}/automobiles", speeding_files="*.txt"
+    )
+    return census.select("feed", "name", "expected", "records")
+
+
 @query
 def empty_gate(spark, folder):
     return sources.emptiness(
@@ -440,12 +479,20 @@ def report_text(spark, folder):
     return spark.read.text(report).withColumnRenamed("value", "line")
 
 
+@query
+def report_text_of_bundles(spark, folder):
+    """A whole run on bundles, which lists their members once."""
+    bundles = _bundles(spark, folder, "people", "speeding", "automobiles")
+    report = plans.run_bundles(spark, bundles, _written(spark, "out"), "check")
+    return spark.read.text(report).withColumnRenamed("value", "line")
+
+
 @query
 def trend_sink(spark, folder):
     """The month table as the chart would read it."""
     path = _written(spark, "trends")
     sinks.write_trends(_months(spark, folder), _years(spark, folder), path)
-    return spark.read.parquet(f"{path}/months")
+    return sinks.read_published(spark, path, "months")
 
 
 @query
@@ -453,7 +500,7 @@ def trend_sink_years(spark, folder):
     """The year table as the chart would read it."""
     path = _written(spark, "trends")
     sinks.write_trends(_months(spark, folder), _years(spark, folder), path)
-    return spark.read.parquet(f"{path}/years")
+    return sinks.read_published(spark, path, "years")
 
 
 # ---- streams
@@ -509,6 +556,17 @@ def stream_month_counts_closed(spark, folder):
     return spark.read.schema(counts.schema).parquet(f"{out}/counts")
 
 
+@query
+def stream_rejected(spark, folder):
+    """The members that no feed takes, as bundles arrive."""
+    out = _written(spark, "arrivals")
+    for arrival in streaming.stage_arrivals(
+        spark, _with_notes(spark, folder), f"{out}/staged", f"{out}/checkpoints", archives_per_batch=4
+    ):
+        arrival.awaitTermination()
+    return _refused(sinks.read_published(spark, f"{out}/staged", "rejected"))
+
+
 @query
 def stream_month_counts(spark, folder):
     schema = _lineitem(spark, folder).schema
@@ -520,7 +578,7 @@ def stream_month_counts(spark, folder):
         f"{out}/counts",
         f"{out}/checkpoint",
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/counts")
+    return streaming.read_latest(spark, f"{out}/counts")
 
 
 # ---- SQL
@@ -607,6 +665,30 @@ SELECT question, CAST(line_no AS INTEGER) AS line_no, line FROM (
              ELSE ' (+' || change || ')' END FROM changes)
 """
 
+_REFUSED = """SELECT lpad(CAST(c_custkey % 8 AS VARCHAR), 5, '0') AS part, 'txt' AS extension,
+    CAST(sum(strlen(c_name) + 1) AS BIGINT) AS member_bytes FROM customer GROUP BY c_custkey % 8"""
+
+
+def _names_sql(feed: str, lead: str, names: str, table: str) -> str:
+    """One row for each name; all records have it."""
+    return f"""SELECT '{feed}' AS feed, '{lead}' || name AS name, true AS expected, (SELECT count(*) FROM {table}) AS records
+        FROM (SELECT unnest(string_split('{names}', ' ')) AS name)"""
+
+
+_CENSUS = " UNION ALL ".join(
+    (
+        _names_sql("people", "people/", "id first_name last_name profession", "customer"),
+        _names_sql(
+            "speeding",
+            "speeding_tickets/",
+            "id officer_id ticket_time school_zone_ind work_zone_ind license_plate",
+            "lineitem",
+        ),
+        _names_sql("automobiles", "automobiles/", "automobile", "orders"),
+        _names_sql("automobiles", "automobiles/automobile/", "person_id license_plate vin color year", "orders"),
+    )
+)
+
 SQL = {
     "officer_filter": "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0",
     "tickets_per_officer": _COUNTS,
@@ -677,6 +759,10 @@ SQL = {
         profession AS first_name, last_name, profession FROM ({_PEOPLE})""",
     "top_payers_from_folders": f"""SELECT person_id, c_name AS first_name, total_ticketed_amount
         FROM ({_payers_sql(_AS_CODED)})""",
+    "src_zip_rejected": _REFUSED,
+    "stream_rejected": _REFUSED,
+    "src_name_census": _CENSUS,
+    "report_text_of_bundles": f"SELECT line FROM ({_REPORT})",
     "src_dir_union": _PEOPLE,
     "src_zip_bundle": _SPEEDING,
     "src_zip_bundle_people": _PEOPLE,

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from citewise.functions import AS_CODED, PUBLISHED, ticket_cost
 from citewise.operators import (
+    Hot,
+    estimate_hot,
     hot_keys,
+    hot_weights,
     join_spread,
     join_with_unique,
     owner_totals,
@@ -13,7 +16,7 @@ from citewise.operators import (
     ticket_vehicle_owner,
 )
 from citewise.plans import top_payers
-from helpers import automobiles, people, planned, rows, ticket, tickets
+from helpers import automobiles, people, planned, rows, table_scans, ticket, tickets
 
 def fee():
     return ticket_cost(F.col("school_zone_ind"), F.col("work_zone_ind"), AS_CODED)
@@ -83,12 +86,16 @@ def test_totals_equal_the_plain_joins(spark, monkeypatch, seed, hot_rows):
         .join(folk.withColumnRenamed("id", "owner"), F.col("owner") == F.col("person_id"))
         .select(F.col("owner").alias("person_id"), fee().alias("ticket_cost"))
     )
-    detailed = ticket_vehicle_owner(autos, frame, folk, fee())
-    assert rows(detailed) == rows(plain)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
+    hot = estimate_hot(autos, frame, folk)
+    assert bool(hot.plates) == bool(hot.ticketed) == (not hot_rows)
     expected = rows(summed(plain))
     assert expected
-    assert rows(owner_totals(autos, frame, folk, fee())) == expected
-    assert rows(owner_totals(autos, frame.repartition(7), folk.repartition(3), fee())) == expected
+    for known in (Hot(), hot):
+        detailed = ticket_vehicle_owner(autos, frame, folk, fee(), hot=known)
+        assert rows(detailed) == rows(plain)
+        assert rows(owner_totals(autos, frame, folk, fee(), hot=known)) == expected
+        assert rows(owner_totals(autos, frame.repartition(7), folk.repartition(3), fee(), hot=known)) == expected
 
 
 def test_ties_at_the_cut_go_by_id(spark):
@@ -179,3 +186,45 @@ def test_no_tickets(spark):
     assert rows(owner_totals(autos, none, folk, fee())) == []
     assert rows(ticket_vehicle_owner(autos, none, folk, fee())) == []
     assert rows(top_payers(folk, none, autos)) == []
+
+
+def test_parts_follow_the_rows_of_a_key(spark, set_conf, small_is_hot, monkeypatch):
+    """Repeats don't grow with the number of shuffle partitions."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 250)
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(1500).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("t"), F.col("id").alias("w"))
+    weights = hot_weights((left, "k"), (right, "t"))
+    assert weights == [{0: 1000}, {0: 500}]
+    assert skew._grid(*weights, 999) == {0: (4, 2)}
+    for partitions in ("8", "64"):
+        set_conf(spark__sql__shuffle__partitions=partitions, spark__sql__adaptive__enabled="false")
+        joined = join_spread(left, "k", right, "t", *weights)
+        assert joined.count() == left.join(right, F.col("k") == F.col("t")).count()
+    tasks = joined.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 6
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
+    autos, frame, folk = automobiles(spark, ("1", "P")), tickets(spark, ticket(plate="P")), people(spark, person(1))
+    spark.sparkContext.setJobGroup("building", "no job")
+    ticket_vehicle_owner(autos, frame, folk, fee())
+    owner_totals(autos, frame, folk, fee())
+    top_payers(folk, frame, autos)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) == 0
+
+
+def test_hot_plates_are_read_once(spark, sf):
+    """Vehicles and tickets are scanned once each, with hot plates too."""
+    from driver_tables.tables import OWNERSHIP, school, table, work
+
+    orders, lineitem, customer = (table(spark, sf, n) for n in ("orders", "lineitem", "customer"))
+    some = [r[0] for r in orders.select("o_orderkey").limit(3).collect()]
+    hot = Hot(plates=dict.fromkeys(some, 5_000_000), ticketed=dict.fromkeys(some[:1], 2_000_000))
+    cost = ticket_cost(school(), work(), AS_CODED)
+    for operator in (owner_totals, ticket_vehicle_owner):
+        plain = rows(operator(orders, lineitem, customer, cost, **OWNERSHIP))
+        frame = operator(orders, lineitem, customer, cost, hot=hot, **OWNERSHIP)
+        assert rows(frame) == plain
+        assert {n: table_scans(frame)[n] for n in ("orders", "lineitem", "customer")} == {"orders": 1, "lineitem": 1, "customer": 1}

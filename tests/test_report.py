@@ -2,7 +2,8 @@ import pytest
 
 from citewise.plans import report_lines
 from citewise.plans.report import officer_lines
-from citewise.sinks import write_trends
+from citewise.plans import run_report
+from citewise.sinks import read_published, write_trends
 from citewise.sources.load import Feeds
 from citewise.plans import trend_tables
 from helpers import automobiles, people, rows, ticket, tickets
@@ -64,11 +65,41 @@ def test_any_number_of_ties_shares_one_line(spark):
 
 def test_trend_tables_are_written_in_order(spark, feeds, tmp_path):
     write_trends(*trend_tables(feeds.speeding), str(tmp_path))
-    months = spark.read.parquet(str(tmp_path / "months")).collect()
+    months = read_published(spark, str(tmp_path), "months").collect()
     assert [(r.month.year, r.month.month, r.ticket_count) for r in months] == [
         (2020, 1, 1),
         (2020, 2, 1),
         (2021, 1, 1),
     ]
-    years = spark.read.parquet(str(tmp_path / "years")).collect()
+    years = read_published(spark, str(tmp_path), "years").collect()
     assert [(r.year.year, r.ticket_count) for r in years] == [(2020, 2), (2021, 1)]
+
+
+@pytest.fixture
+def counted(spark, feeds):
+    """The feeds, and how many ticket rows have been read so far."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return feeds._replace(speeding=feeds.speeding.mapInArrow(count, feeds.speeding.schema)), read
+
+
+def test_the_report_reads_the_tickets_twice(counted):
+    frames, read = counted
+    report_lines(frames).collect()
+    assert read.value == 2 * 3
+
+
+def test_a_run_parses_the_tickets_once(spark, counted, tmp_path):
+    frames, read = counted
+    report = run_report(spark, frames, str(tmp_path), "r")
+    assert read.value == 3
+    lines = [r.value for r in spark.read.text(report).collect()]
+    assert lines == [r.line for r in report_lines(frames).orderBy("question", "line_no", "line").collect()]
+    assert rows(read_published(spark, str(tmp_path), "months", version="r"), "ticket_count") == [(1,), (1,), (1,)]
+    # A run that is committed is not repeated.
+    assert run_report(spark, frames, str(tmp_path), "r") == report

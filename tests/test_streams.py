@@ -2,7 +2,7 @@ import pytest
 
 from citewise.operators import month_counts
 from citewise.schemas import speeding_schema
-from citewise.streaming import month_counts_stream, write_latest
+from citewise.streaming import month_counts_stream, read_latest, write_latest
 from helpers import rows, ticket, tickets
 
 
@@ -30,7 +30,7 @@ def test_complete_table_equals_the_batch_answer(spark, tmp_path, arriving):
         arriving(*times)
         counts = month_counts_stream(arriving.stream())
         write_latest(counts, path, checkpoint).awaitTermination()
-        assert rows(spark.read.parquet(path)) == rows(month_counts(arriving.batch()))
+        assert rows(read_latest(spark, path)) == rows(month_counts(arriving.batch()))
 
 
 def test_closed_months_are_emitted_and_open_ones_held(spark, tmp_path, arriving):
@@ -54,3 +54,15 @@ def test_closed_months_are_emitted_and_open_ones_held(spark, tmp_path, arriving)
     emitted = {r.month.month: r.ticket_count for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     # February is open. The late December ticket came before December was closed.
     assert emitted == {12: 2, 1: 3}
+
+
+def test_readers_keep_the_table_that_they_have(spark, tmp_path, arriving):
+    """A table that was opened before the next one came is still there."""
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    arriving("2020-12-01")
+    write_latest(month_counts_stream(arriving.stream()), path, checkpoint).awaitTermination()
+    before, known = read_latest(spark, path), rows(read_latest(spark, path))
+    arriving("2020-12-02")
+    write_latest(month_counts_stream(arriving.stream()), path, checkpoint).awaitTermination()
+    assert rows(before) == known
+    assert [r[1] for r in rows(read_latest(spark, path))] == [2]
