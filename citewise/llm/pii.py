@@ -4,11 +4,14 @@ The patterns find emails, IP addresses, payment cards and phone numbers exactly
 documented at base_spans. The field labels the tokens (pieces between white space) of
 each line from word-shape features of a token and its neighbours. It is trained by
 gradient ascent on a small labelled table and decoded by Viterbi, all lines of a chunk
-side by side in numpy. Labelled runs that look like their kind and overlap no pattern
-span are added; pattern spans stay.
+side by side in numpy. Labelled runs that keep the bounds of their kind and overlap no
+pattern span are added; pattern spans stay.
 
 Positions are code points, ends exclusive. Defined results: a NULL or empty text has no
-spans. Rows that repeat are searched each. Other columns and empty tables pass.
+spans. Of overlapping spans the pattern's stays; of the field's, the first in the text. A
+text of any length is searched whole, line by line; shapes of tokens are cut at 64
+characters as features, the spans are not. Rows that repeat are searched each. Other
+columns and empty tables pass. A field without training labels nothing.
 """
 
 from __future__ import annotations
@@ -112,14 +115,20 @@ def shaped(text: str, table: np.ndarray) -> str:
     return table[code_points(text)].tobytes().decode("utf-32-le", "surrogatepass")
 
 
+def once(shape: str) -> str:
+    """Runs of one character as one."""
+    return re.sub(r"(.)\1+", r"\1", shape)
+
+
 def token_features(shape: str) -> list[str]:
     """Features of a token, given as its shape."""
     digits = shape.count("9")
-    held = re.sub(r"(.)\1{4,}", r"\1\1\1\1+", shape)[:24]
-    short = re.sub(r"(.)\1+", r"\1", shape[:64])
+    core = shape.strip(".,;:!?()[]<>{}\"'#$%&*")
+    held = re.sub(r"(.)\1{4,}", r"\1\1\1\1+", core)[:24]
     return [
-        f"short={short[:16]}",
+        f"short={once(shape[:64])[:16]}",
         f"shape={held}",
+        f"core={once(core[:64])[:16]}",
         f"digits={digits if digits < 8 else 8 + digits // 4}",
         f"marks={''.join(sorted(set(re.findall(r'[@+().:$%=/-]', shape))))}",
         f"plain={not shape.strip('.,;:!?').strip('x')}",
@@ -148,41 +157,70 @@ class Field:
         return tuple(out)
 
 
-def labelled_examples(n: int = 240, seed: int = 5) -> list[list[tuple[str, str]]]:
-    """A small labelled table, by rule: sentences of plain words and one item, either
-    personal data in a usual form or something that only resembles it."""
+def labelled_examples(n: int = 800, seed: int = 5) -> list[list[tuple[str, str]]]:
+    """A small labelled table, by rule: lines of words as they stand in running text, most
+    with one item, either personal data in a usual form or something that only resembles
+    it (dates, prices, versions, identifiers, references)."""
     r = np.random.default_rng(seed)
     pick = lambda *x: x[r.integers(len(x))]
     d = lambda k: "".join(str(x) for x in r.integers(0, 10, k))
-    word = lambda: "".join(pick("ba", "ter", "in", "so", "li", "und", "é", "ña", "st", "on") for _ in range(r.integers(1, 5)))
-    tail = lambda: pick("", "", "", ".", ",")
+    stem = lambda: "".join(pick("ba", "ter", "in", "so", "li", "und", "é", "ña", "st", "on") for _ in range(r.integers(1, 5)))
+    plain = lambda: stem().encode("ascii", "ignore").decode() or "x"
+    tail = lambda: pick("", "", "", "", ".", ",", ";", ")", "!!", "$$$", "***")
+
+    def word() -> str:
+        """A word of running text, with what may stand around it."""
+        w = stem()
+        shape = r.integers(0, 40)
+        if shape < 5:
+            return w + pick(".", ",", ";", ":", "!", "?", "...")
+        if shape < 12:
+            return pick(
+                f"({w})", f"({w}", f"{w})", f'"{w}"', f"'{w}", f"{w}-{stem()}", f"{w}/{stem()}", f"{w}'s", f"{w}.{stem()}",
+                f"{w}{pick('#', '%', '$', '&', '*') * r.integers(1, 5)}", "-", "--", "|", "=", "+", f"+{w}", f"{w}+", f"@{w}", f"#{w}",
+                f"<{w}>", f"{w}_{stem()}", f"{w}({stem()})", f"{w}[{d(1)}]", "x.x.", f"{w}.{pick('py', 'html', 'txt')}", f"{w}:{stem()}",
+                "@", f"{w}@", "(+)", f"[{w}]", "&", "*", f"{w}{d(1)}", f"{w}.,", f"{w}.)",
+            )
+        if shape < 15:
+            return pick(d(1), d(2), d(3), d(4), f"{d(1)}.", f"{d(2)}%", f"{d(1)},{d(3)}", f"{d(2)}.{d(2)}", f"{d(2)}th", f"({d(2)})", f"[{d(2)}]")
+        return w
+
+    e = lambda: f"{plain()}{pick('.', '_', '', '-')}{plain()}{pick('', d(2))}@{plain()}{pick('', d(1))}.{pick('com', 'example.org', 'net', 'co.uk')}"
+    quad = lambda: ".".join(str(r.integers(0, pick(10, 100, 256))) for _ in range(4))
     out = []
     for i in range(n):
-        e = f"{word()}.{d(2)}@{word()}{d(1)}.example.com".encode("ascii", "ignore").decode()
         area, line = d(3), f"{d(3)}-{d(4)}"
+        at = pick("(at)", "[at]", " [at] ")
+        far = [f"{plain()}{pick('.', '')}{plain()}{at}{plain()}.{pick('com', 'org')}{tail()}"]
         kind, items = [
-            ("email", [e + tail()]),
-            ("email", [pick(f"<{e}>", f"({e})", f"mailto:{e}")]),
-            ("ip", [".".join(str(x) for x in r.integers(1, 255, 4)) + tail()]),
-            ("card", pick([d(16) + tail()], [d(4), d(4), d(4), d(4) + tail()], ["-".join(d(4) for _ in range(4))])),
-            ("phone", pick([f"+{d(1)}", f"({area})", line + tail()], [f"+{d(2)}", d(3), d(7)], [f"+{d(11)}"])),
-            ("phone", pick([f"({area})", line + tail()], [f"{area}-{line}{tail()}"], [f"({area}){line}"])),
-            ("other", pick([d(4)], [f"{d(2)}.{d(1)}"], [f"{d(1)},{d(3)}"], [f"{d(2)}:{d(2)}"], [f"v{d(1)}.{d(1)}.{d(1)}"])),
-            ("other", pick([f"{d(4)}-{d(2)}-{d(2)}"], ["token", "=", f'"{r.bytes(12).hex()}"'], [f"password={r.bytes(8).hex()}"], [f"${d(3)}.{d(2)}"], ["|"], [d(9)])),
+            ("email", [e() + tail()]),
+            ("email", pick([pick(f"<{e()}>", f"({e()})", f"mailto:{e()}", f'"{e()}"')], far, far)),
+            ("ip", [pick("", "(", "") + quad() + tail()]),
+            ("card", pick([d(16) + tail()], [d(16) + tail()], [d(16)], [d(4), d(4), d(4), d(4) + tail()], ["-".join(d(4) for _ in range(4)) + tail()], ["-".join(d(4) for _ in range(4)) + tail()], [d(4), d(6), d(5) + tail()], [d(15) + tail()])),
+            ("phone", pick([f"+{d(1)}", f"({area})", line + tail()], [f"+{d(2)}", d(3), d(7) + tail()], [f"+{d(r.integers(9, 15))}" + tail()], [f"+{d(12)}" + tail()], [f"+{d(2)}", d(2), d(4), d(4) + tail()], [f"+{d(1)}-{area}-{line}{tail()}"])),
+            ("phone", pick([f"({area})", line + tail()], [f"{area}-{line}{tail()}"], [f"({area}){line}{tail()}"], [f"{area}.{d(3)}.{d(4)}{tail()}"])),
+            ("other", pick([d(4)], [f"{d(2)}.{d(1)}"], [f"{d(1)},{d(3)},{d(3)}"], [f"{d(2)}:{d(2)}:{d(2)}"], [f"v{d(1)}.{d(1)}.{d(1)}"], [f"{d(1)}.{d(1)}.{d(1)}"], [f"{d(4)}-{d(4)}"], [f"http://{plain()}.{plain()}.org/{d(3)}"], [f"https://{plain()}.com/{plain()}?{plain()}={d(2)}"])),
+            ("other", pick([f"{d(4)}-{d(2)}-{d(2)}"], ["token", "=", f'"{r.bytes(12).hex()}"'], [f"password={r.bytes(8).hex()}"], [f"${d(3)}.{d(2)}"], ["|"], [d(9)], [f"{r.bytes(4).hex()}-{r.bytes(2).hex()}-{r.bytes(6).hex()}"], [f"{d(2)}/{d(2)}/{d(4)}"], [f"{d(3)}-{d(1)}-{d(4)}-{d(4)}-{d(1)}"], [d(5), d(4), d(3)], ["function", f"{plain()}({plain()},", f"{plain()})", "{"], [f"{plain()}@{plain()}"], [f"{d(1)}.{d(1)}.{d(1)}.{d(1)}.{d(1)}"])),
         ][i % 8]
-        left, right = ([word() for _ in range(r.integers(0, 6))] for _ in range(2))
+        items = [t for item in items for t in item.split(" ")]
+        left, right = ([word() for _ in range(r.integers(0, 7))] for _ in range(2))
         out.append([(t, "other") for t in left] + [(t, kind) for t in items] + [(t, "other") for t in right])
+        if i % 4 == 0:
+            out.append([(word(), "other") for _ in range(r.integers(3, 14))])
     return out
 
 
 def train(sentences: list[list[tuple[str, str]]], steps: int = 120, rate: float = 0.15, l2: float = 1e-3) -> Field:
     """Maximum likelihood by adaptive gradient steps, with forward-backward sums."""
     sentences = [s for s in sentences if s]
+    if not sentences:
+        none = np.zeros((0, len(LABELS)))
+        return Field({}, none, none, none, np.zeros((len(LABELS), len(LABELS))))
     table = shapes()
     names = sorted({f for s in sentences for t, _ in s for f in token_features(shaped(t, table))})
     index = {f: i for i, f in enumerate(names)}
     size, n, width = len(LABELS), len(sentences), max(map(len, sentences), default=1)
-    x = np.zeros((n, width, len(names)))
+    x = np.zeros((n, width, len(names)), np.float32)
     gold, mask = np.zeros((n, width), np.int64), np.zeros((n, width), bool)
     for i, s in enumerate(sentences):
         for t, (token, label) in enumerate(s):
@@ -190,7 +228,7 @@ def train(sentences: list[list[tuple[str, str]]], steps: int = 120, rate: float
             gold[i, t], mask[i, t] = LABELS.index(label), True
     shift = lambda a, k: np.concatenate([np.zeros_like(a[:, :1]), a[:, :-1]] if k > 0 else [a[:, 1:], np.zeros_like(a[:, :1])], 1)
     seen = np.concatenate([x, shift(x, 1), shift(x, -1)], 2)
-    w, move = np.zeros((3 * len(names), size)), np.zeros((size, size))
+    w, move = np.zeros((3 * len(names), size), np.float32), np.zeros((size, size))
     squares = [np.full_like(w, 1e-8), np.full_like(move, 1e-8)]
     onehot = np.eye(size)[gold] * mask[:, :, None]
     for _ in range(steps):
@@ -207,7 +245,7 @@ def train(sentences: list[list[tuple[str, str]]], steps: int = 120, rate: float
         whole = add(forward[:, -1], 1)
         one = np.exp(forward + backward - whole[:, None, None]) * mask[:, :, None]
         two = np.exp(forward[:, :-1, :, None] + move + (emit[:, 1:] + backward[:, 1:])[:, :, None, :] - whole[:, None, None, None]) * mask[:, 1:, None, None]
-        g_w = np.einsum("ntf,ntl->fl", seen, onehot - one) / n - l2 * w
+        g_w = np.tensordot(seen, (onehot - one).astype(np.float32), ([0, 1], [0, 1])) / n - l2 * w
         g_m = (np.einsum("nta,ntb->ab", onehot[:, :-1], onehot[:, 1:]) - two.sum((0, 1))) / n - l2 * move
         for value, g, sq in ((w, g_w, squares[0]), (move, g_m, squares[1])):
             sq += g * g
@@ -249,15 +287,16 @@ def viterbi(emit: np.ndarray, sizes: np.ndarray, move: np.ndarray) -> np.ndarray
 _EDGE = ".,;:!?<>\"'[]{}|"
 
 
-def plausible(kind: str, text: str) -> bool:
-    if kind == "email":
-        return bool(re.search(r"[^\s@]@[^\s@]+\.[^\s@]", text))
+def valid(kind: str, text: str) -> bool:
+    """The bounds that a labelled run must keep: how many digits, of which size, and the
+    checksum of cards. Its form is the field's matter."""
+    digits = len(digits_of(text))
     if kind == "ip":
-        return bool(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", text)) and is_ip(text)
+        parts = re.split(r"[^0-9]+", text.strip(_EDGE + "()"))
+        return len(parts) == 4 and all(p and int(p) <= 255 for p in parts)
     if kind == "card":
-        return is_card(text)
-    # Without a leading + a number needs the usual grouping to count as a phone.
-    return bool(re.fullmatch(r"(\([0-9]{3}\)[ -]?|[0-9]{3}-)[0-9]{3}-[0-9]{4}", text))
+        return 13 <= digits <= 19 and luhn(digits_of(text))
+    return 7 <= digits <= 15 if kind == "phone" else 5 <= len(text) <= 254
 
 
 class Finder:
@@ -292,7 +331,7 @@ class Finder:
                 i = int(np.searchsorted(at, a, "right")) - 1
                 a, b = a - int(at[i]), b - int(at[i])
                 taken = any(a < y and x < b for spans in found[i].values() for x, y in spans)
-                if a < b and not taken and plausible(kind, texts[i][a:b]):
+                if a < b and not taken and valid(kind, texts[i][a:b]):
                     found[i][kind].append((a, b))
         return list(zip(base, found))
 
