@@ -3,17 +3,23 @@
 Arrivals are compact records (digest, identifier, locator of the content) that go
 through keyed state on disk (RocksDB, no watermark, so nothing expires). The state
 keeps, for each digest, the smallest identifier, where its content lies, and a count.
-Every hit is then checked on its full bytes; texts that only share a digest are grouped
-by the text itself. DataFrame functions only.
+Every hit is then checked on its full bytes; where the row that stays came with an earlier
+arrival, its text is fetched by the locator. Texts that only share a digest are grouped by
+the text itself. DataFrame functions only.
+
+A state folder holds the records of all arrivals and the stream's checkpoint. Later
+arrivals sent to the same folder meet all earlier ones; the files they point to must still
+be there, and the text must have the same column name in all of them.
 
 Defined results: a NULL text counts as empty; runs of white space count as one space. A
 NULL identifier comes after all others. Rows that repeat identifier and text stay one
 row each, of which one is kept (the first by file and row). An empty table gives no rows.
-Other columns, whatever their names, don't matter.
+Other columns, whatever their names, don't matter. Texts of any length are compared whole.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -53,8 +59,7 @@ def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def remember(arrivals: DataFrame, folder: str) -> DataFrame:
     """Sends a stream of (digest, at) through the keyed state below folder and returns
-    the state: digest, at (of the row that stays), rows. Later arrivals sent to the same
-    folder meet all earlier ones."""
+    the state: digest, at (of the row that stays), rows."""
     spark = arrivals.sparkSession
     before = {k: spark.conf.get(k, None) for k in STATE}
     for k, v in STATE.items():
@@ -93,24 +98,26 @@ def assign(
     """
     spark = docs.sparkSession
     if not in_files:
-        docs = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "arrivals")
-        id_col, text_col = "id", "text"
+        docs = stored(docs.select(F.col(id_col), F.col(text_col)), "arrivals")
     rows = located(docs, id_col, text_col)
-    folder = new_folder(spark, "records")
-    rows.select("at", digest(F.col("text")).alias("digest")).write.parquet(folder)
-    records = spark.read.parquet(folder)
-    stream = spark.readStream.schema(records.schema).parquet(folder)
-    state = remember(stream, state_folder or new_folder(spark, "state"))
+    folder = state_folder or new_folder(spark, "state")
+    own = f"{folder}/arrivals/{uuid.uuid4().hex}"
+    rows.select("at", digest(F.col("text")).alias("digest")).write.parquet(own)
+    records = spark.read.parquet(own)
+    stream = spark.readStream.schema(records.schema).parquet(f"{folder}/arrivals/*")
+    state = remember(stream, f"{folder}/checkpoint")
 
     grouped = records.join(state.withColumnRenamed("at", "keep"), "digest")
     repeated = grouped.where("rows > 1").select("at", "digest", (F.col("at") == F.col("keep")).alias("first"))
     texts = rows.select("at", "text")
     members = stored(texts.join(repeated, "at").select("digest", "at", "first", "text"), "members")
-    firsts = members.where("first").select("digest", F.col("text").alias("first_text"))
-    hits = members.where("not first").join(firsts, "digest")
-    unequal = stored(hits.where("text != first_text").select("digest"), "unequal")
+    firsts = members.where("first").select("digest", "at", F.col("text").alias("first_text"))
+    if state_folder:
+        firsts = firsts.union(_earlier(grouped, firsts, id_col, text_col))
+    hits = members.where("not first").join(firsts.drop("at"), "digest")
+    unequal = stored(hits.where("text != first_text").select("digest").distinct(), "unequal")
     if not unequal.isEmpty():
-        grouped = _regrouped(records, grouped, members, unequal)
+        grouped = _regrouped(grouped, members, firsts, unequal)
     return grouped.select(
         F.col("at.id").alias("id"),
         "at",
@@ -121,10 +128,28 @@ def assign(
     )
 
 
-def _regrouped(records, grouped, members, unequal) -> DataFrame:
+def _earlier(grouped: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(digest, at, first_text) of rows that stay and came with an earlier arrival."""
+    spark = grouped.sparkSession
+    missing = grouped.where("rows > 1").select("digest", F.col("keep").alias("at")).distinct().join(firsts, "digest", "left_anti")
+    missing = stored(missing, "missing")
+    # As many names as files hold such rows.
+    files = [r[0] for r in missing.select("at.file").distinct().collect()]
+    if not files:
+        return firsts.where("false")
+    place = ["_file", "_row"]
+    there = spark.read.parquet(*files).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), normal(F.col(text_col)).alias("first_text")
+    )
+    wanted = missing.select("digest", "at", F.col("at.file").alias("_file"), F.col("at.row").alias("_row"))
+    return stored(there.join(wanted, place).select("digest", "at", "first_text"), "earlier")
+
+
+def _regrouped(grouped, members, firsts, unequal) -> DataFrame:
     """Groups by the text itself where one digest stands for several texts."""
-    clash = members.join(unequal, "digest", "left_semi")
-    by_text = clash.groupBy("digest", "text").agg(F.min("at").alias("keep"), F.count(F.lit(1)).alias("rows"))
+    clash = members.join(unequal, "digest", "left_semi").select("digest", "at", "text")
+    known = firsts.join(unequal, "digest", "left_semi").select("digest", "at", F.col("first_text").alias("text"))
+    by_text = clash.union(known).distinct().groupBy("digest", "text").agg(F.min("at").alias("keep"), F.count(F.lit(1)).alias("rows"))
     apart = clash.join(by_text, ["digest", "text"]).select("digest", "at", "keep", "rows")
     rest = grouped.join(unequal, "digest", "left_anti").select("digest", "at", "keep", "rows")
     return rest.unionByName(apart)
