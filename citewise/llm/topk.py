@@ -8,7 +8,8 @@ that holds the k-th score becomes the next range, until it is one score wide. Th
 pass keeps scores above the k-th, and of those equal to it the smallest identifiers.
 
 Defined results: vectors that are NULL, empty of numbers, or hold a NULL or non-finite
-component take no part; only vectors of equal length are compared. Rows that repeat an
+component take no part, nor do rows without an identifier, which nothing could name; only
+vectors of equal length are compared. Identifiers are 64-bit integers throughout. Rows that repeat an
 identifier are candidates each; of such queries the smallest vector asks. A query with fewer candidates gets all of them. Scores
 are exact while they fit a 64-bit integer.
 """
@@ -33,7 +34,7 @@ def whole_vectors(frame: DataFrame, id_col: str, vector_col: str, scale: float =
     x = F.col(vector_col).cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     return (
-        frame.where(F.col(vector_col).isNotNull() & (F.size(x) > 0) & ~bad)
+        frame.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(x) > 0) & ~bad)
         .select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("vec"))
         .withColumn("dim", F.size("vec"))
     )
