@@ -8,11 +8,14 @@ digests don't count. An entry fits its host and all subdomains if the path start
 its prefix; of several the longest wins.
 
 Probes are the distinct strings "host suffix + path prefix" for the lengths of prefix
-that the list has; each is looked up once however many pages share it.
+that the list has; each is looked up once however many pages share it. Of a host only as
+many labels from the right are tried as the longest listed host has, so a long url costs
+no more than a short one.
 
 Defined results: a NULL url, or one without "://", has an empty host and path and fits
 nothing. An empty list fits nothing; an empty table gives no rows. Of repeated entries
-with different verdicts "block" wins. Rows that repeat are judged each.
+with different verdicts "block" wins. Rows that repeat are judged each. Columns other
+than the named ones play no part.
 """
 
 from __future__ import annotations
@@ -122,7 +125,9 @@ def match(pages: DataFrame, entries: DataFrame, id_cols: list[str], host: str, p
     listed = stored(entries.select(F.concat("host", "path").alias("entry"), F.length("path").alias("size"), "verdict"), "entries")
     sizes = sorted(r[0] for r in listed.select("size").distinct().collect())
     places = stored(pages.select(F.col(host).alias("host"), F.col(path).alias("path")).where("host != ''").distinct(), "places")
-    labels = F.split("host", r"\.")
+    # The last labels of the host, as many as the longest listed host has.
+    deepest = entries.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 0
+    labels = F.split(F.substring_index("host", ".", -max(deepest, 1)), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     tails = F.filter(F.array(*(F.when(F.length("path") >= s, F.substring("path", 1, s)) for s in sizes)), lambda p: p.isNotNull()) if sizes else F.array().cast("array<string>")
     asked = places.select("host", "path", F.explode(suffixes).alias("suffix"), tails.alias("tails")).select("host", "path", F.explode("tails").alias("tail"), "suffix")
