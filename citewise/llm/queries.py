@@ -37,6 +37,10 @@ def remainder(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def held_out(divisor: int, rest: int):
+    return F.coalesce(remainder("doc_id", divisor) == rest, F.lit(False)).alias("held_out")
+
+
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.assign(table(spark, folder, "documents"), in_files=True)
     return found.select(F.col("id").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -52,8 +56,9 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", (remainder("doc_id", 4) == 2).alias("held_out"))
-    model = language.fit(docs.where(~F.coalesce("held_out", F.lit(False))))
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", held_out(4, 2))
+    # A document without an id is not held out, and nothing is learned from it.
+    model = language.fit(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
     return language.identify(docs, model, ["doc_id", "held_out"])
 
 
@@ -91,7 +96,7 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out(5, 0))
     labels = table(spark, folder, "labels").where(remainder("doc_id", 5) != 0)
     scored = toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

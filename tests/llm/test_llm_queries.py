@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citewise.llm import near_dedup, queries, toxicity
+from citewise.llm import exact_dedup, near_dedup, pii, queries, topk, toxicity, url_filter
 from test_llm_operators import by_id, documents, family, plain_classes, runs_of, words_of
 
 SF = "/root/testdata/sf0.01"
@@ -195,3 +195,132 @@ def test_pipeline_on_odd_rows_and_clashing_columns(spark, tables):
 def test_pipeline_on_no_rows(spark, tables):
     docs = queries.table(spark, "/root/testdata/sf0.001", "documents").where("false")
     assert corpus_pipeline.run(spark, tables(docs)).count() == 0
+
+
+# Personal data: the field by itself
+
+
+@pytest.fixture(scope="module")
+def field():
+    return pii.train(pii.labelled_examples())
+
+
+PLANTED = {
+    "email": ["anna.b_c@some.example.org", "x9@y.co.uk", "<joe-z@mail.net>", "lea(at)firm.com", "tim.k[at]place.org"],
+    "ip": ["10.20.30.40", "(192.168.1.255", "8.8.4.4,"],
+    "card": ["4111 1111 1111 1111", "5500-0000-0000-0004.", "4012888888881881", "3782 822463 10005"],
+    "phone": ["+1 (212) 555-0123", "(030) 123-4567", "212-555-0199.", "+49 170 1234567", "415.555.2671", "+442079460958"],
+}
+
+
+def test_the_field_alone_finds_what_is_planted(field, monkeypatch):
+    monkeypatch.setattr(pii, "base_spans", lambda text: {k: [] for k in pii.KINDS})
+    finder = pii.Finder(field)
+    rng, caught, n = np.random.default_rng(2), 0, 0
+    texts = [t for t in documents_text() if t]
+    for kind, items in PLANTED.items():
+        for item in items:
+            for _ in range(6):
+                words = texts[rng.integers(len(texts))].split()
+                at = rng.integers(len(words))
+                left, right = " ".join(words[max(0, at - 9) : at]), " ".join(words[at : at + 9])
+                _, spans = finder([f"{left} {item} {right}"])[0]
+                core = item.strip("<>(),. ")
+                n += 1
+                caught += any(core[2:-2] in f"{left} {item} {right}"[a:b] for a, b in spans[kind])
+    assert caught >= 0.9 * n
+
+
+def documents_text():
+    import duckdb
+
+    return [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall()]
+
+
+def test_the_field_leaves_plain_words_alone(field, monkeypatch):
+    """Labels before any bound: fewer than one in ten thousand words."""
+    runs = []
+    monkeypatch.setattr(pii, "valid", lambda kind, text: runs.append((kind, text)) or False)
+    texts = [t or "" for t in documents_text()]
+    pii.Finder(field)(texts)
+    # Numbers of the size of a card are no plain words, whatever their checksum.
+    wrong = [text for kind, text in runs if not (kind == "card" and 15 <= len(pii.digits_of(text)) <= 19)]
+    assert len(wrong) < sum(len(t.split()) for t in texts) / 10_000
+
+
+def test_the_field_adds_what_patterns_miss(spark, field):
+    texts = ["Call (212) 555-0123 or 212-555-0199 today.", "Write lea.m(at)firm.com, please.", "Pay 3782 822463 10005 now.", "On 2020-01-02 at 10:30:15 v1.2.3 cost $123.45."]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = by_id(pii.find(frame, field, ["doc_id"]))
+    spans = {i: [(k, texts[i][int(a) : int(b)]) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)] for i, r in found.items()}
+    assert spans[0] == [("phone", "(212) 555-0123"), ("phone", "212-555-0199")]
+    assert spans[1] == [("email", "lea.m(at)firm.com")] and spans[2] == [("card", "3782 822463 10005")] and spans[3] == []
+    assert all(r["n_email"] + r["n_phone"] + r["n_card"] + r["n_ip"] == 0 for r in found.values())
+    assert pii.train([]).index == {} and by_id(pii.find(frame, pii.train([]), ["doc_id"]))[0]["spans"] == ""
+
+
+# Identifiers, long urls, documents without an id
+
+
+def test_top_k_keeps_large_identifiers_and_leaves_nameless_rows_out(spark):
+    big = 2**60
+    rows = [(big, [1.0, 0.0]), (big + 1, [2.0, 0.0]), (big + 1, [3.0, 0.0]), (None, [9.0, 9.0]), (7, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(topk.whole_vectors(frame, "vec_id", "embedding"), F.col("id") == big, 5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [big + 1, big + 1, 7]
+    assert [r["score"] for r in found] == [64 * 192, 64 * 128, 0]
+
+
+def test_long_urls_cost_no_more(spark):
+    long_host = "a." * 20_000 + "b.com"
+    urls = ["x://" + long_host + "/de/" + "p" * 50_000, "x://" + "y" * 50_000, "x://c.example.org/es/"]
+    host, path = url_filter.url_parts(F.col("url"))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").select("page_id", host.alias("host"), path.alias("path"))
+    rules = spark.createDataFrame([*queries.RULES, ("b.com", "/de/p", "allow"), ("b.com", "/de/p", "block")], "host string, path string, verdict string")
+    found = by_id(url_filter.match(pages, rules, ["page_id"], "host", "path"), "page_id")
+    assert [(found[i]["entry"], found[i]["verdict"]) for i in range(3)] == [("b.com/de/p", "block"), (None, None), ("example.org/es/", "block")]
+
+
+def test_documents_without_an_id_are_not_held_out(spark, sf, tables):
+    docs = queries.table(spark, sf, "documents")
+    extra = spark.createDataFrame([(None, "the text of no one", "xx", None, None)], docs.schema)
+    folder = tables(docs.unionByName(extra))
+    for name in ("op4_language", "op8_toxicity"):
+        mine = [r for r in queries.QUERIES[name](spark, folder).collect() if r["doc_id"] is None]
+        assert [r["held_out"] for r in mine] == [False]
+    assert "xx" not in {r["lang_pred"] for r in queries.op4_language(spark, folder).collect()}
+
+
+# Exact dedup as a stream
+
+
+def test_later_arrivals_meet_earlier_ones(spark, tmp_path, monkeypatch):
+    state = str(tmp_path / "state")
+    first = spark.createDataFrame([(10, "a b"), (11, "c"), (None, "d"), (12, "a  b")], "doc_id long, text string")
+    first.coalesce(1).write.parquet(str(tmp_path / "one"))
+    found = by_id(exact_dedup.assign(spark.read.parquet(str(tmp_path / "one")), in_files=True, state_folder=state), "id")
+    assert {i: (r["keep"], r["group_size"], r["kept"]) for i, r in found.items()} == {
+        10: (10, 2, True), 12: (10, 2, False), 11: (11, 1, True), None: (None, 1, True)
+    }
+    second = spark.createDataFrame([(20, "a\tb"), (5, "c"), (21, "new"), (22, "d"), (22, "d")], "doc_id long, text string")
+    found = exact_dedup.assign(second, state_folder=state).collect()
+    assert sorted((r["id"], r["keep"], r["group_size"], r["kept"]) for r in found) == [
+        (5, 5, 2, True), (20, 10, 3, False), (21, 21, 1, True), (22, 22, 3, False), (22, 22, 3, True)
+    ]
+
+
+def test_the_text_of_an_earlier_arrival_is_compared(spark, tmp_path):
+    """Texts with one digest, one of which came before."""
+    state, same = str(tmp_path / "state"), lambda text: F.lit("same")
+    schema = "doc_id long, text string"
+    exact_dedup.assign(spark.createDataFrame([(1, "x")], schema), digest=same, state_folder=state).count()
+    found = exact_dedup.assign(spark.createDataFrame([(2, "y"), (3, "x"), (4, "y")], schema), digest=same, state_folder=state).collect()
+    assert sorted((r["id"], r["keep"], r["kept"]) for r in found) == [(2, 2, True), (3, 1, False), (4, 2, False)]
+
+
+def test_exact_dedup_of_rows_without_ids_and_repeated_rows(spark):
+    rows = [(None, "a"), (None, "a"), (7, "a"), (7, "a"), (8, None), (9, "")]
+    found = exact_dedup.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["id"] or 0, r["keep"], r["group_size"], r["kept"]) for r in found)) == [
+        (0, 7, 4, False), (0, 7, 4, False), (7, 7, 4, False), (7, 7, 4, True), (8, 8, 2, True), (9, 8, 2, False)
+    ]
