@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citewise.llm import exact_dedup, near_dedup, pii, queries, topk, toxicity, url_filter
-from test_llm_operators import by_id, documents, family, plain_classes, runs_of, words_of
+from citewise.llm import exact_dedup, near_dedup, pii, queries, sentencepieces, token_counts, topk, toxicity, url_filter
+from test_llm_operators import best_cut, by_id, documents, family, plain_classes, runs_of, words_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -324,3 +324,43 @@ def test_exact_dedup_of_rows_without_ids_and_repeated_rows(spark):
     assert sorted(((r["id"] or 0, r["keep"], r["group_size"], r["kept"]) for r in found)) == [
         (0, 7, 4, False), (0, 7, 4, False), (7, 7, 4, False), (7, 7, 4, True), (8, 8, 2, True), (9, 8, 2, False)
     ]
+
+
+# Token counts
+
+
+def test_token_count_query_against_plain_dynamic_programming(spark, sf):
+    import base64
+    import math
+
+    import regex
+
+    cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    with open(queries.tokenizer("byte_bpe_50k.tiktoken"), "rb") as file:
+        scores = {base64.b64decode(a): -math.log(int(b) + 2) for a, b in map(bytes.split, file)}
+    unknown, known = min(scores.values()), {}
+    found = by_id(queries.op7_token_counts(spark, sf))
+    texts = documents(spark, sf)
+    assert set(found) == set(texts)
+    for i, text in texts.items():
+        words = cut.findall(text)
+        for word in set(words).difference(known):
+            known[word] = best_cut(word.encode(), scores, unknown)
+        assert found[i]["n_pretokens"] == len(words)
+        assert found[i]["n_tokens"] == sum(known[w][0] for w in words)
+        assert found[i]["score"] == pytest.approx(sum(known[w][1] for w in words))
+
+
+def test_one_word_of_many_letters(spark):
+    """Long words without a space: counted, encoded and searched whole."""
+    word = "abcdefghij" * 3000
+    frame = spark.createDataFrame([(1, word), (2, word + "."), (3, None)], "doc_id long, text string")
+    counts = by_id(token_counts.count_tokens(frame, queries.tokenizer("byte_bpe_50k.tiktoken")))
+    assert counts[1]["n_pretokens"] == 1 and counts[2]["n_pretokens"] == 2
+    assert counts[2]["n_tokens"] == counts[1]["n_tokens"] + 1 and counts[3]["n_tokens"] == 0
+    model = queries.tokenizer("piece_bpe_32k.model")
+    encoded = by_id(sentencepieces.encode(frame, model, ids=True))
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    assert encoded[1]["ids"] == library.encode(word, add_eos=True)
