@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from citewise.plans import run_bundles
-from citewise.sinks import Publisher, forget_versions, publish, published, read_published
+from citewise.sinks import Publisher, forget_versions, publish, published, read_published, read_staged, stage_feeds
 from citewise.sources import (
     UnexpectedNameError,
     bundle_members,
@@ -20,9 +20,9 @@ from citewise.sources import (
     require_expected,
 )
 from citewise.sources import bundle
-from citewise.sources.load import EmptyFeedError
+from citewise.sources.load import EmptyFeedError, Feeds
 from citewise.streaming import RejectedMemberError, stage_arrivals
-from helpers import rows, write, write_zip
+from helpers import automobiles, people, rows, ticket, tickets, write, write_zip
 from test_bundle import FULL, HEADER, autos_xml, cited, speeding_json
 
 FAILURES = (PySparkException, Py4JJavaError)
@@ -193,3 +193,24 @@ def test_members_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
     assert bundle.tasks_for(spark, inflated) == max(-(-inflated // 4000), 2)
     assert bundle.tasks_for(spark, 40_000) == 10
     assert load_bundles(spark, folder).people.rdd.getNumPartitions() >= 2
+
+
+# ---- the gate
+
+
+@pytest.mark.parametrize("empty, name", [(0, "People"), (1, "Speeding"), (2, "Automobiles")])
+def test_staging_counts_rows_and_names_an_empty_feed(spark, tmp_path, empty, name):
+    path = str(tmp_path / "staged")
+    full = Feeds(people(spark, (1, "A", "B", "C")), tickets(spark, ticket()), automobiles(spark, ("1", "P")))
+    field = Feeds._fields[empty]
+    none = spark.createDataFrame([], getattr(full, field).schema)
+    with pytest.raises(EmptyFeedError, match=f"{name} DataFrame is Empty!"):
+        stage_feeds(full._replace(**{field: none}), path, "one", gate=True)
+    assert [frame.count() for frame in read_staged(spark, path)] == [0, 0, 0]
+    stage_feeds(full, path, "two", gate=True)
+    assert [frame.count() for frame in read_staged(spark, path)] == [1, 1, 1]
+
+
+def test_no_job_looks_for_empty_feeds_in_a_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", lambda self: pytest.fail("a job of its own"))
+    run_bundles(spark, write_zip(tmp_path / "in", "a.zip", FULL), str(tmp_path / "out"), "r")
