@@ -81,6 +81,9 @@ FURNITURE_WORDS = set(
     "recommended related replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "toolbar trending widget widgets".split()
 )
+# Words that begin so mean the same, with these exceptions: "commentlist", "cookiebar".
+FURNITURE_BEGINNINGS = ("advert", "adsby", "breadcrumb", "comment", "cookie", "footer", "masthead", "navbar", "newsletter", "sidebar", "sponsor")
+NO_FURNITURE = {"commentary", "commentaries", "commentator", "commentators"}
 # Inside an article a header is the article's own.
 HEADERS = {"header", "masthead"}
 # Before such a word in a name, furniture is talked of, not meant.
@@ -106,10 +109,15 @@ _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 def marked_as_furniture(names: str, in_article: bool = False) -> bool:
     """Whether class names or an id call an element furniture: "site-menu", "topNav"."""
-    telling = FURNITURE_WORDS - HEADERS if in_article else FURNITURE_WORDS
+
+    def tells(word: str) -> bool:
+        if in_article and word in HEADERS or word in NO_FURNITURE:
+            return False
+        return word in FURNITURE_WORDS or word.startswith(FURNITURE_BEGINNINGS)
+
     for name in names.split():
         words = [w.lower() for w in _WORD.findall(name)]
-        if any(w in telling and (i == 0 or words[i - 1] not in ABOUT) for i, w in enumerate(words)):
+        if any(tells(w) and (i == 0 or words[i - 1] not in ABOUT) for i, w in enumerate(words)):
             return True
     return False
 
@@ -333,7 +341,7 @@ def main_text(html: str | None) -> str:
     plain = np.array(list(compress(page.plain, seen)), float)
     marks = np.array(list(compress(page.marks, seen)), float)
     score, least = path_scores(np.array(page.path)[elements], plain, marks)
-    content = (score >= least) & (score > 0)
+    content = (score >= least) & (score > 0) & (plain > 0)
     weight = np.where(content, plain, 0.0)
     articles, homes = np.array(article)[elements], np.array(home)[elements]
     regions = articles if articles.any() else homes

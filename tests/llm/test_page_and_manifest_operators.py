@@ -84,6 +84,23 @@ def test_paths_choose_where_nothing_is_declared():
         assert main_text.main_text(page) == expected
 
 
+def test_names_that_mark_furniture():
+    marks = ("site-menu", "topNav", "commentlist", "cookiebar", "left sidebar-2", "ad", "adsbygoogle", "pageFooter", "js-newsletter-form", "header")
+    plain = ("content", "with-sidebar", "no-comments", "commentary", "download", "headline", "badge", "thread", "post", "adult", "")
+    assert all(main_text.marked_as_furniture(m) for m in marks)
+    assert not any(main_text.marked_as_furniture(p) for p in plain)
+    assert not main_text.marked_as_furniture("entry-header", in_article=True)
+
+
+def test_pages_of_tables_and_plain_boxes():
+    long = "A long paragraph, with commas; and with quite some words, to be the content here."
+    menu = "<td><a href=1>A</a><br><a href=2>B</a><br></td>"
+    assert main_text.main_text(f"<table><tr>{menu}<td><b>Head</b><br>{long}<br>{long}</td></table>") == f"Head {long} {long}"
+    boxes = f"<div id=top><a>x</a></div><div class=col><h1>T</h1><div>{long}</div><div>{long}{long}</div><div>End.</div></div>"
+    page = f"<body><div class=cookiebar>{long}</div><div id=wrap>{boxes}<div id=commentlist><div>{long}</div></div></div>"
+    assert main_text.main_text(page) == f"T\n{long}\n{long}{long}\nEnd."
+
+
 def test_scores_follow_length_and_punctuation():
     score, least = main_text.path_scores(np.array([1, 2, 2, 2, 1]), np.array([5.0, 200, 180, 220, 6]), np.array([0.0, 6, 5, 7, 0]))
     assert score[1] == score[2] == score[3] > least > score[0] == score[4]
