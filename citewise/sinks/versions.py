@@ -154,6 +154,13 @@ def forget_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
             files.delete(folder)
 
 
+def batch_version(spark: SparkSession, checkpoint: str, batch: int) -> str:
+    """The name of a stream's batch: the same when the batch is repeated, another one for a
+    stream that starts anew with a new checkpoint."""
+    stream = json.loads(_Files(spark, checkpoint).read("metadata"))["id"]
+    return f"{stream}-batch-{batch}"
+
+
 def _bases(folders: Iterable[str]) -> set[str]:
     return {folder.rsplit("/", 1)[0] for folder in folders}
 

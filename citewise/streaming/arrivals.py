@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citewise.sinks.tables import write_feeds
-from citewise.sinks.versions import Publisher
+from citewise.sinks.versions import Publisher, batch_version
 from citewise.sources.bundle import bundle_members, rejected, stream_archives, tasks_for
 from citewise.sources.load import feeds_from_members
 
@@ -38,7 +38,8 @@ def stage_arrivals(
     """
 
     def stage(archives: DataFrame, batch: int) -> None:
-        publisher = Publisher(archives.sparkSession, staged, f"batch-{batch}", replaces=False)
+        session = archives.sparkSession
+        publisher = Publisher(session, staged, batch_version(session, checkpoints, batch), replaces=False)
         if publisher.done():
             return
         write_members(publisher, archives, key_type, tasks, fail_on_rejected)

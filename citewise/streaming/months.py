@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citewise.functions.periods import month_of
-from citewise.sinks.versions import forget_versions, publish, read_published
+from citewise.sinks.versions import batch_version, forget_versions, publish, read_published
 
 COUNTS = "month_counts"
 
@@ -40,8 +40,9 @@ def write_latest(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     """
 
     def replace(batch: DataFrame, number: int) -> None:
-        publish(batch.sparkSession, {COUNTS: batch}, path, f"batch-{number}")
-        forget_versions(batch.sparkSession, path)
+        session = batch.sparkSession
+        publish(session, {COUNTS: batch}, path, batch_version(session, checkpoint, number))
+        forget_versions(session, path)
 
     return (
         counts.writeStream.outputMode("complete")

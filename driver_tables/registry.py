@@ -467,7 +467,9 @@ def empty_gate(spark, folder):
 
 @query
 def report_lines(spark, folder):
-    return plans.report_lines(feeds(spark, folder))
+    tables = feeds(spark, folder)
+    hot = op.estimate_hot(tables.automobiles, tables.speeding, tables.people)
+    return plans.report_lines(tables, hot=hot)
 
 
 @query

@@ -66,3 +66,12 @@ def test_readers_keep_the_table_that_they_have(spark, tmp_path, arriving):
     write_latest(month_counts_stream(arriving.stream()), path, checkpoint).awaitTermination()
     assert rows(before) == known
     assert [r[1] for r in rows(read_latest(spark, path))] == [2]
+
+
+def test_a_stream_that_starts_anew_is_not_taken_for_a_repeat(spark, tmp_path, arriving):
+    path = str(tmp_path / "out")
+    arriving("2020-12-01")
+    write_latest(month_counts_stream(arriving.stream()), path, str(tmp_path / "cp1")).awaitTermination()
+    arriving("2020-12-02")
+    write_latest(month_counts_stream(arriving.stream()), path, str(tmp_path / "cp2")).awaitTermination()
+    assert [r[1] for r in rows(read_latest(spark, path))] == [2]
