@@ -12,7 +12,9 @@ runs over all rows and whole texts.
 
 Defined results: a NULL text, and one without a letter, is "und" with score 0. With one
 language in the labels everything else is that language; without labels it is "und".
-Labels that are NULL are ignored. Rows that repeat are judged each.
+Labels that are NULL are ignored. Rows that repeat are judged each. An empty table gives no
+rows. Texts of any length are judged whole, in a chunk of their own beyond a million
+characters. Columns other than the named ones play no part.
 """
 
 from __future__ import annotations

@@ -26,7 +26,9 @@ chance of 2 in 10,000.
 Words are lower-cased, without punctuation at their ends; a text of fewer than five words
 is one run. Defined results: one row for each distinct id. NULL and empty texts have no
 words and are copies of each other. Of different texts under one id the one with the
-smallest digest counts. An empty table gives no rows.
+smallest digest counts; rows without an id count as one id, and a class whose only id is
+NULL has NULL for its class. Texts of any length are compared whole. An empty table gives no
+rows. Other columns play no part.
 """
 
 from __future__ import annotations
