@@ -1,4 +1,13 @@
-"""The corpus pipeline: five filters and transformations of documents, in order."""
+"""The corpus pipeline: five filters and transformations of documents, in order.
+
+Every stage works on all that the one before kept, whole texts, and all but the last
+return the columns of documents, whatever else those are called. Defined results: NULL and
+empty texts are scored like any other, count as copies of each other, hold no personal
+data and are packed as their end alone. Of exact copies the smallest id stays (a missing id
+is the largest; of equal rows the first by file and row), of near copies the smallest id of
+the class; there all rows without an id count as one. An empty table gives no rows. What a stage writes stays below
+``spark.checkpoint.dir``.
+"""
 
 from __future__ import annotations
 
