@@ -28,32 +28,37 @@ def write_people(people: DataFrame, path: str) -> str:
 
 
 def write_automobiles(automobiles: DataFrame, path: str) -> str:
-    (
-        automobiles.write.mode("overwrite")
-        .format("xml")
-        .option("rootTag", AUTOMOBILE_ROOT)
-        .option("rowTag", AUTOMOBILE_ROW)
-        .save(path)
-    )
-    return path
+    """One XML document per task."""
+    vehicles = automobiles.select(F.to_xml(F.struct(*automobiles.columns), {"rowTag": AUTOMOBILE_ROW}).alias("value"))
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n'
+    return _write_documents(vehicles, path, f"{head}<{AUTOMOBILE_ROOT}>", "", f"</{AUTOMOBILE_ROOT}>")
 
 
 def write_speeding(speeding: DataFrame, path: str) -> str:
-    """One JSON document per task: an opening line, a line per ticket, a closing line."""
+    """One JSON document per task."""
+    tickets = speeding.select(F.to_json(F.struct(*speeding.columns)).alias("value"))
+    return _write_documents(tickets, path, f'{{"{SPEEDING_ARRAY}":[', ",", "]}")
+
+
+def _write_documents(records: DataFrame, path: str, lead: str, between: str, end: str) -> str:
+    """A document per task, whole even where the task has no records: an opening line, the
+    records, with ``between`` before all but the first, and a closing line."""
+
+    def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def line(text: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"value": pa.array([text], pa.string())})
 
-    def envelope(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = f'{{"{SPEEDING_ARRAY}":['
+        yield line(lead)
+        first = len(between)
         for batch in batches:
-            lines = []
-            for ticket in batch.column("ticket").to_pylist():
-                lines.append(lead + ticket)
-                lead = ","
-            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
-        end = "]}" if lead == "," else lead + "]}"
-        yield pa.RecordBatch.from_pydict({"value": pa.array([end], pa.string())})
-
-    tickets = speeding.select(F.to_json(F.struct(*speeding.columns)).alias("ticket"))
-    tickets.mapInArrow(envelope, "value string").write.mode("overwrite").text(path)
+            if batch.num_rows and first:
+                yield line(batch.column("value")[0].as_py()[first:])
+                batch, first = batch.slice(1), 0
+            yield batch
+        yield line(end)
+
+    led = records.select(F.concat(F.lit(between), "value").alias("value"))
+    led.mapInArrow(document, "value string").write.mode("overwrite").text(path)
     return path
 
 

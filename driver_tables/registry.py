@@ -268,6 +268,8 @@ def top_payers_with_ties(spark, folder):
 
 # Cuts the files of the smallest tables, too.
 SMALL_RANGE = 1 << 14
+# How the written documents are called: Spark names text files so.
+WRITTEN = "*.txt"
 
 
 def _written(spark, name):
@@ -290,26 +292,26 @@ def src_csv_pipe_inferred(spark, folder):
 @query
 def src_json_envelope(spark, folder):
     path = feed_files.write_speeding(speeding(spark, folder), _written(spark, "speeding"))
-    return sources.read_speeding(spark, path, files="*.txt")
+    return sources.read_speeding(spark, path, files=WRITTEN)
 
 
 @query
 def src_json_envelope_in_pieces(spark, folder):
     """The same documents, each in many ranges."""
     path = feed_files.write_speeding(speeding(spark, folder), _written(spark, "speeding"))
-    return sources.read_speeding(spark, path, files="*.txt", range_bytes=SMALL_RANGE)
+    return sources.read_speeding(spark, path, files=WRITTEN, range_bytes=SMALL_RANGE)
 
 
 @query
 def src_xml_rows(spark, folder):
     path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
-    return sources.read_automobiles(spark, path)
+    return sources.read_automobiles(spark, path, files=WRITTEN)
 
 
 @query
 def src_xml_rows_in_pieces(spark, folder):
     path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
-    return sources.read_automobiles(spark, path, range_bytes=SMALL_RANGE)
+    return sources.read_automobiles(spark, path, range_bytes=SMALL_RANGE, files=WRITTEN)
 
 
 @query
@@ -318,21 +320,21 @@ def src_xml_chosen_columns(spark, folder):
     path = feed_files.write_automobiles(
         automobiles(spark, folder).select(*chosen), _written(spark, "automobiles")
     )
-    return sources.read_automobiles(spark, path, columns=chosen)
+    return sources.read_automobiles(spark, path, columns=chosen, files=WRITTEN)
 
 
 @query
 def src_xml_two_columns(spark, folder):
     """Two columns of the documents, and none of the others."""
     path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
-    return sources.read_automobiles(spark, path).select("vin", "year")
+    return sources.read_automobiles(spark, path, files=WRITTEN).select("vin", "year")
 
 
 @query
 def src_xml_count(spark, folder):
     """How many vehicles there are, with no column read."""
     path = feed_files.write_automobiles(automobiles(spark, folder), _written(spark, "automobiles"))
-    return sources.read_automobiles(spark, path).groupBy().agg(F.count(F.lit(1)).alias("vehicles"))
+    return sources.read_automobiles(spark, path, files=WRITTEN).groupBy().agg(F.count(F.lit(1)).alias("vehicles"))
 
 
 @query
@@ -350,7 +352,7 @@ def top_payers_from_folders(spark, folder):
     for name, frame in tables._asdict().items():
         getattr(feed_files, f"write_{name}")(frame, f"{base}/{name}")
     loaded = sources.load_directories(
-        spark, f"{base}/people", f"{base}/speeding", f"{base}/automobiles", speeding_files="*.txt"
+        spark, f"{base}/people", f"{base}/speeding", f"{base}/automobiles", speeding_files=WRITTEN, automobile_files=WRITTEN
     )
     top = plans.top_payers(*sources.require_rows(loaded), fn.AS_CODED)
     return top.select("person_id", "first_name", "total_ticketed_amount")
@@ -408,7 +410,7 @@ def src_zip_bundle_people_wide(spark, folder):
 def src_json_inferred(spark, folder):
     """Types as Spark finds them in the documents."""
     path = feed_files.write_speeding(speeding(spark, folder), _written(spark, "speeding"))
-    return sources.read_speeding(spark, path, infer=True, files="*.txt")
+    return sources.read_speeding(spark, path, infer=True, files=WRITTEN)
 
 
 @query
@@ -450,7 +452,7 @@ def src_name_census(spark, folder):
     for name, frame in tables._asdict().items():
         getattr(feed_files, f"write_{name}")(frame, f"{base}/{name}")
     census = sources.census_of_directories(
-        spark, f"{base}/people", f"{base}/speeding", f"{base}/automobiles", speeding_files="*.txt"
+        spark, f"{base}/people", f"{base}/speeding", f"{base}/automobiles", speeding_files=WRITTEN, automobile_files=WRITTEN
     )
     return census.select("feed", "name", "expected", "records")
 
