@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from contextlib import closing
 from typing import BinaryIO
 
 import pandas as pd
@@ -28,6 +29,7 @@ RECORDS = "file string, name string, record string"
 
 _RANGES = "file string, start long, stop long, size long"
 _BATCH_CHARS = 4 * 1024 * 1024
+_BATCH_RANGES = 1000
 _AHEAD = 1 << 16
 _BOM = b"\xef\xbb\xbf"
 
@@ -36,7 +38,7 @@ class _Range:
     """A range of an open file, moved behind separators at both ends."""
 
     def __init__(self, stream: BinaryIO, start: int, stop: int, size: int, separator: bytes) -> None:
-        self.stream, self.ahead = stream, _AHEAD
+        self.stream, self.ahead = stream, min(_AHEAD, max(stop - start, 1 << 10))
         begin = max(start - 1, 0)
         stream.seek(begin)
         data = stream.read(stop - begin)
@@ -70,13 +72,37 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield from batch.to_pylist()
 
 
+class _OpenFile:
+    """Keeps the last file open, since a task often has many ranges of it."""
+
+    def __init__(self, open_file: Callable[[str], BinaryIO]) -> None:
+        self.open_file, self.name, self.stream = open_file, None, None
+
+    def __call__(self, name: str) -> BinaryIO:
+        if name != self.name:
+            self.close()
+            self.stream, self.name = self.open_file(name), name
+        return self.stream
+
+    def close(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+        self.name = self.stream = None
+
+
 def _summarizer(lexer, open_file):
     def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            with open_file(row["file"]) as stream:
-                part = _Range(stream, row["start"], row["stop"], row["size"], lexer.SEPARATOR)
-            summary = lexer.summary(part.data, row["start"] == 0)
-            yield pa.RecordBatch.from_pylist([{**row, "summary": json.dumps(summary)}])
+        held = []
+        with closing(_OpenFile(open_file)) as opened:
+            for row in _rows(batches):
+                part = _Range(opened(row["file"]), row["start"], row["stop"], row["size"], lexer.SEPARATOR)
+                summary = lexer.summary(part.data, row["start"] == 0)
+                held.append({**row, "summary": json.dumps(summary)})
+                if len(held) == _BATCH_RANGES:
+                    yield pa.RecordBatch.from_pylist(held)
+                    held = []
+        if held:
+            yield pa.RecordBatch.from_pylist(held)
 
     return summarize
 
@@ -98,41 +124,39 @@ def _composer(lexer):
 
 
 def _cutter(lexer, open_file):
-    def batch(file: str, held: list[tuple[str, str]]) -> pa.RecordBatch:
-        names, records = zip(*held)
-        files = pa.repeat(pa.scalar(file, pa.string()), len(held))
-        return pa.RecordBatch.from_arrays(
-            [files, pa.array(names, pa.string()), pa.array(records, pa.string())], ["file", "name", "record"]
-        )
-
-    def records(row: dict) -> Iterator[tuple[str, str]]:
+    def batch(held: list[tuple[str, str, str]]) -> pa.RecordBatch:
+        columns = [pa.array(values, pa.string()) for values in zip(*held)]
+        return pa.RecordBatch.from_arrays(columns, ["file", "name", "record"])
+
+    def records(row: dict, opened: _OpenFile) -> Iterator[tuple[str, str]]:
         if row["size"] < 0:
             if row["start"] != row["stop"]:
                 raise ValueError("broken: a file without content")
             return
-        with open_file(row["file"]) as stream:
-            part = _Range(stream, row["start"], row["stop"], row["size"], lexer.SEPARATOR)
-            if row["state"] is None:
-                state = lexer.START
-                lexer.finish(lexer.after(state, json.loads(json.dumps(lexer.summary(part.data, True)))))
-            else:
-                state = json.loads(row["state"])
-            yield from lexer.cut(part.data, state, part.more)
+        part = _Range(opened(row["file"]), row["start"], row["stop"], row["size"], lexer.SEPARATOR)
+        if row["state"] is None:
+            state = lexer.START
+            lexer.finish(lexer.after(state, json.loads(json.dumps(lexer.summary(part.data, True)))))
+        else:
+            state = json.loads(row["state"])
+        yield from lexer.cut(part.data, state, part.more)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            held, chars = [], 0
-            try:
-                for name, text in records(row):
-                    held.append((name, text))
-                    chars += len(text)
-                    if chars >= _BATCH_CHARS:
-                        yield batch(row["file"], held)
-                        held, chars = [], 0
-            except ValueError as error:
-                raise ValueError(f"{row['file']}: {error}") from None
-            if held:
-                yield batch(row["file"], held)
+        held, chars = [], 0
+        with closing(_OpenFile(open_file)) as opened:
+            for row in _rows(batches):
+                file = row["file"]
+                try:
+                    for name, text in records(row, opened):
+                        held.append((file, name, text))
+                        chars += len(text)
+                        if chars >= _BATCH_CHARS:
+                            yield batch(held)
+                            held, chars = [], 0
+                except ValueError as error:
+                    raise ValueError(f"{file}: {error}") from None
+        if held:
+            yield batch(held)
 
     return cut
 
@@ -152,16 +176,18 @@ def read_records(
 ) -> DataFrame:
     """(file, name, record): the records of all files of a folder, as text.
 
-    ``range_bytes`` is how much one task holds, at most ``spark.sql.files.maxPartitionBytes``
-    or 32 MB; the rows don't depend on it.
+    ``range_bytes`` is how much one task holds at a time, by default
+    ``spark.sql.files.maxPartitionBytes`` and at most 32 MB; the rows don't depend on it. A
+    task takes as many small ranges, one after the other, as make up that default.
     """
-    if range_bytes is None:
-        range_bytes = min(RANGE_BYTES, _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+    task_bytes = min(RANGE_BYTES, _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+    range_bytes = range_bytes or task_bytes
+    task_bytes = max(task_bytes, range_bytes)
     reader = spark.read.format("binaryFile")
     files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
     size = listed_bytes(files)
-    # A range a task; small input still goes to all cores, a megabyte at least to each.
-    tasks = max(-(-size // range_bytes), min(spark.sparkContext.defaultParallelism, -(-size // (1 << 20))), 1)
+    # Small input still goes to all cores, a megabyte at least to each.
+    tasks = max(-(-size // task_bytes), min(spark.sparkContext.defaultParallelism, -(-size // (1 << 20))), 1)
 
     last = F.greatest(F.col("length") - 1, F.lit(0))
     starts = F.sequence(F.lit(0).cast("long"), last, F.lit(range_bytes).cast("long"))

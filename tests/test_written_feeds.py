@@ -26,3 +26,11 @@ def test_tickets_of_tasks_without_rows(spark, tmp_path, n):
     data = [(f"{i}", i, None, i % 2 == 0, None, 'a"\n,') for i in range(n)]
     path = feed_files.write_speeding(in_last_task(spark, data, speeding_schema()), str(tmp_path / "s"))
     assert rows(read_speeding(spark, path, files="*.txt")) == sorted(data, key=repr)
+
+
+def test_small_ranges_are_not_a_task_each(spark, tmp_path):
+    data = [(f"{i}", i, None, True, None, "P") for i in range(2000)]
+    path = feed_files.write_speeding(in_last_task(spark, data, speeding_schema()), str(tmp_path / "s"))
+    read = read_speeding(spark, path, files="*.txt", range_bytes=1 << 9)
+    assert rows(read) == sorted(data, key=repr)
+    assert read.rdd.getNumPartitions() <= 2
