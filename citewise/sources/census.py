@@ -88,18 +88,28 @@ def _census(records: dict[str, DataFrame]) -> DataFrame:
 
 
 def _counted(feed: str, records: DataFrame) -> DataFrame:
-    named = records.select("file", F.explode(_names(feed, F.col("record"))).alias("name"))
-    counts = named.groupBy("name").agg(F.count(F.lit(1)).alias("records"), F.min("file").alias("first_file"))
+    """Records are counted by the list of their names first: most of a file have the same."""
+    found = records.select("file", _found(feed, F.col("record")).alias("_found"))
+    named = found.select("file", _names(feed, F.col("_found")).alias("_names"))
+    lists = named.groupBy("file", "_names").agg(F.count(F.lit(1)).alias("_records"))
+    single = lists.select("file", "_records", F.explode("_names").alias("name"))
+    counts = single.groupBy("name").agg(F.sum("_records").alias("records"), F.min("file").alias("first_file"))
     expected = F.col("name").isin(*sorted(EXPECTED[feed]))
     return counts.select(F.lit(feed).alias("feed"), "name", expected.alias("expected"), "records", "first_file")
 
 
-def _names(feed: str, record: Column) -> Column:
+def _found(feed: str, record: Column) -> Column:
+    """The tags of a record, or its keys."""
     if feed == "automobiles":
-        tags = F.regexp_extract_all(F.regexp_replace(record, _NO_TAGS, ""), F.lit(_TAG), F.lit(1))
-        child = F.concat(F.lit(f"{AUTOMOBILE_ROOT}/"), F.element_at(tags, 1))
-        inner = F.transform(F.array_distinct(F.slice(tags, 2, F.size(tags))), lambda tag: F.concat(child, F.lit("/"), tag))
-        return F.concat(F.array(child), inner)
+        bare = F.when(record.rlike(r"<[!?]"), F.regexp_replace(record, _NO_TAGS, "")).otherwise(record)
+        return F.regexp_extract_all(bare, F.lit(_TAG), F.lit(1))
+    return F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+
+
+def _names(feed: str, found: Column) -> Column:
+    if feed == "automobiles":
+        child = F.concat(F.lit(f"{AUTOMOBILE_ROOT}/"), F.element_at(found, 1))
+        inner = F.array_distinct(F.slice(found, 2, F.size(found)))
+        return F.concat(F.array(child), F.transform(inner, lambda tag: F.concat(child, F.lit("/"), tag)))
     lead = "people/" if feed == "people" else f"{SPEEDING_ARRAY}/"
-    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-    return F.transform(F.array_distinct(keys), lambda key: F.concat(F.lit(lead), key))
+    return F.transform(F.array_distinct(found), lambda key: F.concat(F.lit(lead), key))
