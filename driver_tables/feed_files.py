@@ -10,7 +10,6 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,9 +82,9 @@ def write_bundles(spark: SparkSession, folder: str) -> str:
         .where(F.col("archive") != "")
     )
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        base = group["path"].iloc[0].rsplit("/", 2)[0]
-        system, target = locate(f"{base}/bundles/bundle-{group['archive'].iloc[0]}.zip")
+    def pack(paths: list[str], archive: str) -> str:
+        base = paths[0].rsplit("/", 2)[0]
+        system, target = locate(f"{base}/bundles/bundle-{archive}.zip")
         system.create_dir(target.rsplit("/", 1)[0])
         # Two attempts of a task never write the same file; the last one to end stays.
         own = f"{target}.{uuid.uuid4().hex}"
@@ -93,15 +92,23 @@ def write_bundles(spark: SparkSession, folder: str) -> str:
             system.open_output_stream(own) as out,
             zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as bundle,
         ):
-            for path in sorted(group["path"]):
+            for path in sorted(paths):
                 _, feed, file = path.rsplit("/", 2)
                 name = f"feeds/{file.rsplit('.', 1)[0]}.{EXTENSIONS[feed]}"
                 with open_path(path) as content, bundle.open(name, "w", force_zip64=True) as member:
                     shutil.copyfileobj(content, member, 1 << 20)
         system.move(own, target)
-        return pd.DataFrame({"written": [target]})
+        return target
 
-    files.groupBy("archive").applyInPandas(pack, "written string").write.mode("overwrite").parquet(
-        f"{folder}-manifest"
-    )
+    def pack_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pydict({"written": pa.array([pack(row["paths"], row["archive"])], pa.string())})
+
+    archives = files.groupBy("archive").agg(F.collect_list("path").alias("paths"))
+    # Part numbers follow on one another. Without a number of tasks adaptive execution would
+    # judge the archives by their names and pack all of them in one.
+    tasks = spark.sparkContext.defaultParallelism
+    dealt = archives.repartitionById(tasks, F.pmod(F.col("archive").cast("long"), F.lit(tasks)).cast("int"))
+    dealt.mapInArrow(pack_all, "written string").write.mode("overwrite").parquet(f"{folder}-manifest")
     return f"{folder}/bundles"

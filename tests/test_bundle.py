@@ -1,5 +1,6 @@
 import io
 import json
+from xml.etree import ElementTree
 
 import pytest
 from hypothesis import given, settings
@@ -10,11 +11,12 @@ from pyspark.errors import PySparkException
 from citewise.plans import run_report
 from citewise.schemas import people_schema
 from citewise.sinks import read_staged
-from citewise.sources import bundle_members, list_archives, load_bundles, rejected_members
+from citewise.sources import bundle_members, census_of_bundles, list_archives, load_bundles, rejected_members
 from citewise.sources.load import EmptyFeedError
 from citewise.sources.records import csv_records, json_records, xml_records
 from citewise.streaming import stage_arrivals
-from helpers import planned, rows, write_zip
+from driver_tables import feed_files
+from helpers import planned, rows, write, write_zip
 
 FAILURES = (PySparkException, Py4JJavaError)
 HEADER = "id|first_name|last_name|profession\n"
@@ -224,3 +226,99 @@ def test_arrivals_are_staged_once(spark, tmp_path):
         assert rows(getattr(feeds, name)) == rows(getattr(batch, name))
     assert feeds.people.schema.names == people_schema().names
     assert rows(catch_up().speeding, "id") == [("t1",), ("t2",), ("t3",)]
+
+
+def parsed_records(text):
+    """The children of a document's root, as a parser gives them."""
+    children = list(ElementTree.fromstring(text))
+    for child in children:
+        child.tail = None
+    return [ElementTree.canonicalize(ElementTree.tostring(child, encoding="unicode")) for child in children]
+
+
+XML_BODIES = [
+    "<a><b>1</b>\n <c>é</c></a>\n<a><b>2</b></a>",
+    "<a></a><a/><a> </a><a x='1'><b>1</b></a><a><b>3</b></a>",
+    "<a><b>1</b></a><!-- <a><b>no</b></a> --><a><b>2</b></a><?p <a><b>no</b></a>?><a><b>3</b></a>",
+    "<a><b>1</b></a><a><b><![CDATA[<a><b>no</b></a>]]></b></a><a><b>2</b></a>",
+    "<a><a><b>inner</b></a></a><a><b>&amp;&#65;</b><b/><b>]</b></a><a><b>2</b></a>",
+    "text <a><b>1</b></a> text <a><b>2</b> text</a><a><b>3\r\n</b></a>",
+]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 40, 1 << 20])
+@pytest.mark.parametrize("body", XML_BODIES)
+def test_xml_is_cut_as_it_is_parsed(body, chunk):
+    text = f"<?xml version='1.0'?>\n<r>{body}</r>\n".encode()
+    found = [ElementTree.canonicalize(record) for record in xml_records(io.BytesIO(text), "a", "r", chunk)]
+    assert found == parsed_records(text)
+
+
+BROKEN_BODIES = ["<a><b>1</a></b>", "<a><b>\x01</b></a>", "<a><b>]]></b></a>", "<a><b>1</b></a><c/>", "<a><b>1</b></a></r><r>", "<a><b>1</b>"]
+
+
+@pytest.mark.parametrize("chunk", [7, 1 << 20])
+@pytest.mark.parametrize("body", BROKEN_BODIES)
+def test_broken_xml_is_not_cut(body, chunk):
+    with pytest.raises((ValueError, ElementTree.ParseError)):
+        list(xml_records(io.BytesIO(f"<r><a><b>0</b></a>{body}</r>".encode()), "a", "r", chunk))
+
+
+def test_xml_of_other_encodings_and_namespaces():
+    latin = "<?xml version='1.0' encoding='latin-1'?><r><a><b>é</b></a></r>".encode("latin-1")
+    assert list(xml_records(io.BytesIO(latin), "a", "r")) == ["<a><b>é</b></a>"]
+    wide = "<?xml version='1.0' encoding='utf-16'?><r><a><b>é</b></a><a/></r>".encode("utf-16")
+    assert list(xml_records(io.BytesIO(wide), "a", "r")) == ["<a><b>é</b></a>", "<a />"]
+    with pytest.raises(ValueError):
+        list(xml_records(io.BytesIO(b"<r xmlns='u'><a><b>1</b></a></r>"), "a"))
+    with pytest.raises(ElementTree.ParseError):
+        list(xml_records(io.BytesIO(b""), "a"))
+
+
+def test_flat_records_are_not_parsed_one_by_one(monkeypatch):
+    fed = []
+
+    class Parser(ElementTree.XMLPullParser):
+        def feed(self, data):
+            fed.append(len(data))
+            super().feed(data)
+
+    monkeypatch.setattr(ElementTree, "XMLPullParser", Parser)
+    text = b"<r>" + b"<a><b>1</b></a>" * 10_000 + b"</r>"
+    assert len(list(xml_records(io.BytesIO(text), "a", "r"))) == 10_000
+    assert sum(fed) < 100
+
+
+def test_archives_are_packed_by_many_tasks(spark, tmp_path):
+    for n in range(8):
+        write(tmp_path / "feeds" / "people", f"part-{n:05d}-x.csv", HEADER + f"{n}|A|B|C\n")
+    bundles = feed_files.write_bundles(spark, f"file://{tmp_path}/feeds")
+    assert len(list((tmp_path / "feeds" / "bundles").glob("*.zip"))) == 8
+    written = spark.read.parquet(f"{tmp_path}/feeds-manifest")
+    assert len(written.inputFiles()) == spark.sparkContext.defaultParallelism
+    assert rows(load_bundles(spark, bundles).people, "id") == [(n,) for n in range(8)]
+
+
+def test_names_are_counted_by_lists(spark, tmp_path):
+    documents = {
+        "f/a.xml": "<automobiles><automobile><vin>1</vin><vin>2</vin><!-- <no/> --></automobile><automobile/></automobiles>",
+        "f/b.xml": "<automobiles><automobile><vin>3</vin><tow/></automobile></automobiles>",
+        "f/a.json": speeding_json({"id": 1, "note": None}, {"id": 2}),
+    }
+    census = census_of_bundles(spark, write_zip(tmp_path, "b.zip", documents))
+    assert rows(census, "feed", "name", "expected", "records") == [
+        ("automobiles", "automobiles/automobile", True, 3),
+        ("automobiles", "automobiles/automobile/tow", False, 1),
+        ("automobiles", "automobiles/automobile/vin", True, 2),
+        ("speeding", "speeding_tickets/id", True, 2),
+        ("speeding", "speeding_tickets/note", False, 1),
+    ]
+
+
+def test_the_census_sorts_no_records(spark, tmp_path):
+    folder = write_zip(tmp_path, "b.zip", {"f/a.json": speeding_json({"id": 1})})
+    plan = planned(census_of_bundles(spark, folder))
+    # Below the counts by list, the first aggregates of a feed's records, nothing is sorted.
+    for part in plan.split("HashAggregate(keys=[file")[1:]:
+        assert "SortAggregate" not in part.split("MapInArrow")[0]
+    assert "HashAggregate(keys=[file" in plan
