@@ -92,8 +92,9 @@ def _counted(feed: str, records: DataFrame) -> DataFrame:
     found = records.select("file", _found(feed, F.col("record")).alias("_found"))
     named = found.select("file", _names(feed, F.col("_found")).alias("_names"))
     lists = named.groupBy("file", "_names").agg(F.count(F.lit(1)).alias("_records"))
-    single = lists.select("file", "_records", F.explode("_names").alias("name"))
-    counts = single.groupBy("name").agg(F.sum("_records").alias("records"), F.min("file").alias("first_file"))
+    # An inner explode would filter empty lists at the source, and find all names there again.
+    single = lists.select("file", "_records", F.explode_outer("_names").alias("name"))
+    counts = single.where(F.col("name").isNotNull()).groupBy("name").agg(F.sum("_records").alias("records"), F.min("file").alias("first_file"))
     expected = F.col("name").isin(*sorted(EXPECTED[feed]))
     return counts.select(F.lit(feed).alias("feed"), "name", expected.alias("expected"), "records", "first_file")
 

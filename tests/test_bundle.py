@@ -322,3 +322,5 @@ def test_the_census_sorts_no_records(spark, tmp_path):
     for part in plan.split("HashAggregate(keys=[file")[1:]:
         assert "SortAggregate" not in part.split("MapInArrow")[0]
     assert "HashAggregate(keys=[file" in plan
+    # Names are found once, not for a filter, too.
+    assert not [line for line in plan.splitlines() if "Filter" in line and ("json_object_keys" in line or "regexp_extract_all" in line)]
