@@ -207,7 +207,18 @@ def read_records(
     together = whole.unionByName(parts)
     if not _may_be_empty(lexer):
         together = together.unionByName(_listed(files, path))
-    return spread(together).mapInArrow(_cutter(lexer, open_file), RECORDS)
+    return of_unknown_size(spread(together).mapInArrow(_cutter(lexer, open_file), RECORDS))
+
+
+def of_unknown_size(rows: DataFrame) -> DataFrame:
+    """The same rows, of which Spark knows no size before it has shuffled them itself.
+
+    Adaptive execution would judge records by the few bytes of the ranges they are cut
+    from, and broadcast feeds of any size. A frame over an RDD counts as too large for
+    that; this one has no rows and no tasks.
+    """
+    spark = rows.sparkSession
+    return rows.union(spark.createDataFrame(spark.sparkContext.emptyRDD(), rows.schema))
 
 
 def _may_be_empty(lexer) -> bool:

@@ -13,7 +13,7 @@ from citewise.sources.load import (
     load_directories,
     require_rows,
 )
-from helpers import automobiles, people, rows, ticket, tickets, write, write_zip
+from helpers import automobiles, final_plan, people, rows, ticket, tickets, write, write_zip
 
 TICKET = {
     "id": "t1",
@@ -384,6 +384,20 @@ def test_questions_on_folders(spark, tmp_path):
     assert rows(top) == [(2, "Bob", "B", 180)]
 
 
+@pytest.mark.parametrize("owners, broadcasts", [(1, 3), (2000, 1)])
+def test_only_small_feeds_are_broadcast(spark, tmp_path, set_conf, owners, broadcasts):
+    """Their rows count, not the few bytes of the ranges that they are cut from."""
+    set_conf(spark__sql__autoBroadcastJoinThreshold="16k")
+    ids = range(1, owners + 1)
+    write(tmp_path / "p", "a.csv", "\n".join([HEADER, *(f"{n}|Ann|A|Baker" for n in ids)]))
+    write(tmp_path / "s", "a.json", envelope(*({**TICKET, "license_plate": f"P{n}"} for n in ids)))
+    write(tmp_path / "x", "a.xml", xml(*(vehicle(person_id=n, license_plate=f"P{n}") for n in ids)))
+    top = top_payers(*load_directories(spark, *[str(tmp_path / name) for name in "psx"]))
+    plan = final_plan(top)
+    assert (plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")) == (broadcasts, 3 - broadcasts)
+    assert [tuple(row) for row in top.collect()] == [(n, "Ann", "A", 90) for n in ids[:10]]
+
+
 def test_missing_folders_give_typed_empty_frames_and_fail_the_gate(spark, tmp_path):
     feeds = load_directories(spark, *[str(tmp_path / name) for name in "abc"])
     assert [frame.isEmpty() for frame in feeds] == [True] * 3
